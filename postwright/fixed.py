@@ -82,7 +82,11 @@ DESCRIPTION_PREFIX = 100
 # four ASCII separators U+001C..U+001F.
 SPACE = r"[\s\x1c-\x1f]"
 NON_SPACE = r"[^\s\x1c-\x1f]"
-STRIP = rf"\A{SPACE}+|{SPACE}+\z"
+SPACE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 HTML_TAG = r"<[^>]{0,200}>"
 HTML_ENTITY = r"&[a-zA-Z0-9#]{1,10};"
@@ -91,6 +95,8 @@ PHONE = r"\(?\d{3}\)?[\s\x1c-\x1f.\-/]?\d{3}[\s\x1c-\x1f.\-/]?\d{4}"
 EMAIL = r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[a-zA-Z]{2,}"
 BULLET = rf"^{SPACE}*[•·▪▸►◆*+\-–—]{SPACE}+"
 HORIZONTAL_SPACE = r"[ \t\r\f\x0B]+"
+# the same, except for the single blank, which would be replaced by itself
+HORIZONTAL_SPACE_TO_CHANGE = r"[ \t\r\f\x0B]{2,}|[\t\r\f\x0B]"
 NEWLINE_RUN = r"\n{3,}"
 
 # ---------------------------------------------------------------- fixed values: field patterns

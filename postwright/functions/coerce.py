@@ -25,8 +25,8 @@ _LAYOUTS = [
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of any kind from both ends (``trim`` knows only the blank)."""
-    return F.regexp_replace(text, "(?U)" + fixed.STRIP, "")
+    """Remove white space of any kind from both ends."""
+    return F.btrim(text, F.lit(fixed.SPACE_CHARACTERS))
 
 
 def null_tokens(text: Column) -> Column:

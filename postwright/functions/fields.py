@@ -1,20 +1,60 @@
-"""Structured fields from cleaned text, as native column expressions."""
+"""Structured fields from cleaned text, as native column expressions.
+
+Patterns are run only where a cheap substring test allows a match.  Intermediate
+values sit in columns of their own, so that no pattern runs twice on a row; the
+temporary columns start with ``_`` and are dropped at the end.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postwright import fixed
 
 _FLAGS = "(?iU)"
 
-
-def _group(span: Column, pattern: str, group: int) -> Column:
-    """Capture group of a span already matched by ``pattern``; null if it took no part."""
-    return F.nullif(F.regexp_extract(span, _FLAGS + pattern, group), F.lit(""))
+# One of these is in every lower-cased text that the pattern matches.
+_FLAG_HINTS = {
+    "is_fulltime": ["full"],
+    "is_parttime": ["part"],
+    "is_contract": ["contract", "temp", "contingent", "freelance", "gig"],
+    "is_internship": ["intern", "coop", "co-op", "trainee"],
+    "is_remote": ["remote", "work", "wfh", "telecommut", "distributed", "hybrid"],
+    "has_health_insurance": ["health", "medical", "dental", "vision"],
+    "has_401k": ["401k", "403b", "retirement", "pension"],
+    "has_pto": ["paid", "pto", "vacation"],
+    "has_tuition": ["tuition", "education"],
+    "has_relocation": ["relocation"],
+    "has_bonus": ["bonus"],
+}
+_TIER_HINTS = {
+    "Doctoral Degree": ["phd", "ph.d", "doctor", "d.d.s", "m.d", "j.d"],
+    "Associate's Degree": ["associate", "2-year", "two", "aa", "a.a"],
+    "High School Diploma / GED": ["school", "ged", "hsd", "h.s", "hs.d", "hsed"],
+}
+# Letters that match i, s or k regardless of case but do not become one in lower case.
+_ODD_LETTERS = ["\u0130", "\u0131", "\u017f", "\u212a"]
+
+
+def _any(conditions) -> Column:
+    return reduce(or_, conditions)
+
+
+def _has(text: Column, literal: str) -> Column:
+    return F.contains(text, F.lit(literal))
+
+
+def _matches(text: Column, pattern: str, hints: list[str] | None) -> Column:
+    """Case-insensitive search in ``text``, skipped where no hint is in ``_low``."""
+    found = text.rlike(_FLAGS + pattern)
+    if hints is None:
+        return found
+    possible = F.col("_odd") | _any(_has(F.col("_low"), h) for h in hints)
+    return possible & found
 
 
 def _span(text: Column, pattern: str) -> Column:
@@ -22,6 +62,16 @@ def _span(text: Column, pattern: str) -> Column:
     return F.regexp_substr(text, F.lit(_FLAGS + pattern))
 
 
+def _groups(span: str, pattern: str, n: int) -> dict[str, Column]:
+    """Capture groups of a matched span; null where a group took no part."""
+    return {
+        f"{span}{g}": F.nullif(
+            F.regexp_extract(F.col(span), _FLAGS + pattern, g), F.lit("")
+        )
+        for g in range(1, n + 1)
+    }
+
+
 def _by_unit(unit_text: Column, values: list) -> Column:
     branches = zip(fixed.PAY_UNITS, values)
     (_, first, *_), value = next(branches)
@@ -31,62 +81,87 @@ def _by_unit(unit_text: Column, values: list) -> Column:
     return out
 
 
-def _pay(span: Column, pattern: str, scale: float) -> Column:
-    """(min, max, unit) of a matched pay span, null if the minimum is implausible."""
-    first, second = (
-        F.replace(_group(span, pattern, g), F.lit(","), F.lit("")).try_cast("double") * scale
-        for g in (1, 2)
-    )
-    second = F.nullif(second, F.lit(0.0))
-    low = F.least(first, second)  # least/greatest skip nulls
-    high = F.when(second.isNotNull(), F.greatest(first, second))
-    unit_text = _group(span, pattern, 3)
-    unit = _by_unit(unit_text, [F.lit(label) for label, *_ in fixed.PAY_UNITS])
-    plausible = _by_unit(unit_text, [low.between(lo, hi) for *_, lo, hi in fixed.PAY_UNITS])
-    return F.when(
-        plausible, F.struct(low.alias("min"), high.alias("max"), unit.alias("unit"))
-    )
+def _amount(text: Column, scale: float) -> Column:
+    return F.replace(text, F.lit(","), F.lit("")).try_cast("double") * scale
 
 
-def salary(text: Column) -> Column:
-    """Struct (min, max, unit): the dollar form, else the K form, else null."""
-    dollar_span = F.when(F.contains(text, F.lit("$")), _span(text, fixed.SALARY_DOLLAR))
-    return F.coalesce(
-        _pay(dollar_span, fixed.SALARY_DOLLAR, 1.0),
-        _pay(_span(text, fixed.SALARY_K), fixed.SALARY_K, 1_000.0),
+def _with_pay(df: DataFrame, span: str, pattern: str, scale: float, pay: str) -> DataFrame:
+    """Add the struct (min, max, unit) of a matched pay span, null if implausible."""
+    df = df.withColumns(_groups(span, pattern, 3))
+    df = df.withColumns(
+        {
+            "_a": _amount(F.col(f"{span}1"), scale),
+            "_b": F.nullif(_amount(F.col(f"{span}2"), scale), F.lit(0.0)),
+            "_u": _by_unit(F.col(f"{span}3"), [F.lit(u) for u, *_ in fixed.PAY_UNITS]),
+        }
     )
-
-
-def education(text: Column) -> Column:
-    """Highest education tier the text mentions."""
-    (label, pattern), *rest = fixed.EDUCATION_TIERS
-    out = F.when(text.rlike(_FLAGS + pattern), F.lit(label))
-    for label, pattern in rest:
-        out = out.when(text.rlike(_FLAGS + pattern), F.lit(label))
-    return out.otherwise(F.lit(fixed.NO_EDUCATION))
-
-
-def experience(text: Column) -> Column:
-    """Struct (min, max) years, null where none or out of range."""
-    span = _span(text, fixed.EXPERIENCE)
-    amount = F.lower(_group(span, fixed.EXPERIENCE, 1))
-    words = reduce(
-        lambda out, item: out.when(amount == item[1], F.lit(float(item[0]))),
-        enumerate(fixed.NUMBER_WORDS, 1),
-        F.when(F.lit(False), F.lit(None).cast("double")),
+    low = F.least("_a", "_b")  # least and greatest skip nulls
+    limits = [(F.col("_u") == u) & low.between(lo, hi) for u, _, lo, hi in fixed.PAY_UNITS]
+    both = F.col("_b").isNotNull()
+    record = F.struct(
+        low.alias("min"),
+        F.when(both, F.greatest("_a", "_b")).alias("max"),
+        F.col("_u").alias("unit"),
     )
-    low = F.coalesce(words, amount.try_cast("double"))
-    high = _group(span, fixed.EXPERIENCE, 2).try_cast("double")
-    limit = F.lit(float(fixed.MAX_EXPERIENCE_YEARS))
-    return F.when(
-        (low > 0) & (low <= limit),
-        F.struct(
-            low.alias("min"),
-            F.when((high > 0) & (high <= limit) & (high >= low), high).alias("max"),
-        ),
+    return df.withColumn(pay, F.when(_any(limits), record))
+
+
+def with_salary(df: DataFrame, text: str) -> DataFrame:
+    """Add text pay: the dollar form, else the K form, else nulls."""
+    source = F.col(text)
+    dollar = F.when(_has(source, "$"), _span(source, fixed.SALARY_DOLLAR))
+    df = _with_pay(df.withColumn("_s", dollar), "_s", fixed.SALARY_DOLLAR, 1.0, "_dollar")
+    kilo = F.when(F.col("_dollar").isNull(), _span(source, fixed.SALARY_K))
+    df = _with_pay(df.withColumn("_s", kilo), "_s", fixed.SALARY_K, 1_000.0, "_kilo")
+    df = df.withColumn("_pay", F.coalesce("_dollar", "_kilo"))
+    return df.withColumns(
+        {f"salary_text_{part}": F.col(f"_pay.{part}") for part in ("min", "max", "unit")}
+    ).drop("_s", "_s1", "_s2", "_s3", "_a", "_b", "_u", "_dollar", "_kilo", "_pay")
+
+
+def with_experience(df: DataFrame, text: str) -> DataFrame:
+    """Add minimum and maximum years, null where none or out of range."""
+    source = F.col(text)
+    # "xper" holds no letter with an odd case variant, so the test is safe on any text
+    span = F.when(_has(F.lower(source), "xper"), _span(source, fixed.EXPERIENCE))
+    df = df.withColumn("_y", span).withColumns(_groups("_y", fixed.EXPERIENCE, 2))
+    word = F.lower("_y1")
+    number = F.when(word == fixed.NUMBER_WORDS[0], F.lit(1.0))
+    for value, name in enumerate(fixed.NUMBER_WORDS[1:], 2):
+        number = number.when(word == name, F.lit(float(value)))
+    df = df.withColumns(
+        {
+            "_low_year": F.coalesce(F.col("_y1").try_cast("double"), number),
+            "_high_year": F.col("_y2").try_cast("double"),
+        }
     )
-
-
-def flag(text: Column, name: str) -> Column:
-    """Whether the text matches the named flag's wording; false, not null, for null text."""
-    return F.coalesce(text.rlike(_FLAGS + fixed.FLAGS[name]), F.lit(False))
+    low, high, limit = F.col("_low_year"), F.col("_high_year"), fixed.MAX_EXPERIENCE_YEARS
+    valid = (low > 0) & (low <= limit)
+    return df.withColumns(
+        {
+            "experience_min_years": F.when(valid, low),
+            "experience_max_years": F.when(
+                valid & (high > 0) & (high <= limit) & (high >= low), high
+            ),
+        }
+    ).drop("_y", "_y1", "_y2", "_low_year", "_high_year")
+
+
+def with_wording(df: DataFrame, text: str) -> DataFrame:
+    """Add the highest education tier mentioned and the eleven wording flags."""
+    source = F.col(text)
+    odd = (F.octet_length(source) != F.length(source)) & _any(
+        _has(source, letter) for letter in _ODD_LETTERS
+    )
+    df = df.withColumns({"_low": F.lower(source), "_odd": odd})
+    (label, pattern), *rest = fixed.EDUCATION_TIERS
+    tier = F.when(_matches(source, pattern, _TIER_HINTS.get(label)), F.lit(label))
+    for label, pattern in rest:
+        tier = tier.when(_matches(source, pattern, _TIER_HINTS.get(label)), F.lit(label))
+    flags = {
+        name: F.coalesce(_matches(source, pattern, _FLAG_HINTS[name]), F.lit(False))
+        for name, pattern in fixed.FLAGS.items()
+    }
+    return df.withColumns(
+        {"education_min": tier.otherwise(F.lit(fixed.NO_EDUCATION)), **flags}
+    ).drop("_low", "_odd")

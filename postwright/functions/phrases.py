@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,15 @@ def skill_tokens(text: Column) -> Column:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value computed once.
+
+    An expression used inside a lambda is computed again for every element; a
+    lambda variable is not.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def _windows(words: Column, size: int) -> Column:
     """All runs of ``size`` neighbouring words, each joined by one blank."""
     if size == 1:
@@ -31,8 +40,12 @@ def _windows(words: Column, size: int) -> Column:
 
 def windows(words: Column, sizes: Iterable[int]) -> Column:
     """Runs of every size in ``sizes`` as one array, duplicates kept."""
-    parts = [_windows(words, n) for n in sorted(sizes)]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+    def all_sizes(bound: Column) -> Column:
+        parts = [_windows(bound, n) for n in sorted(sizes)]
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+    return _let(words, all_sizes)
 
 
 def skill_phrases(
@@ -52,9 +65,12 @@ def index_terms(text: Column) -> Column:
 
 def counted(items: Column) -> Column:
     """Array of (item, n) with one entry per distinct item."""
-    return F.transform(
-        F.array_distinct(items),
-        lambda t: F.struct(
-            t.alias("item"), F.size(F.filter(items, lambda x: x == t)).alias("n")
+    return _let(
+        items,
+        lambda all_items: F.transform(
+            F.array_distinct(all_items),
+            lambda t: F.struct(
+                t.alias("item"), F.size(F.filter(all_items, lambda x: x == t)).alias("n")
+            ),
         ),
     )

@@ -7,8 +7,10 @@ and only for the rows that need it: every other row sends a null to Python.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postwright import fixed
@@ -60,38 +62,92 @@ def _decoder():
     return F.pandas_udf(decode, "string")
 
 
-def strip_markup(text: Column) -> Column:
-    """Tags of up to 200 characters, then leftover entities, become one blank each."""
-    text = F.regexp_replace(text, fixed.HTML_TAG, " ")
-    return F.regexp_replace(text, fixed.HTML_ENTITY, " ")
+def _where(text: Column, needed: Column, changed: Column) -> Column:
+    """Run an expensive change only on rows that can need it."""
+    return F.when(needed, changed).otherwise(text)
+
+
+def _has(text: Column, literal: str) -> Column:
+    return F.contains(text, F.lit(literal))
+
+
+def _beyond_ascii(text: Column) -> Column:
+    return F.octet_length(text) != F.length(text)
+
+
+# Every step below names its argument several times, so it must be given a plain
+# column, not an expression; ``chain`` sees to that.
+
 
+def chain(df: DataFrame, source: str, steps: Sequence[Callable], into: str) -> DataFrame:
+    """Apply steps one after the other, each in a projection of its own."""
+    df = df.withColumn(into, F.col(source))
+    for step in steps:
+        df = df.withColumn(into, step(F.col(into)))
+    return df
 
-def decode_markup(text: Column) -> Column:
-    """Decode entities, strip markup, normalise to NFKC."""
+
+def strip_tags(text: Column) -> Column:
+    """Tags of up to 200 characters become one blank."""
+    return _where(text, _has(text, "<"), F.regexp_replace(text, fixed.HTML_TAG, " "))
+
+
+def strip_entities(text: Column) -> Column:
+    """Leftover entities become one blank."""
+    return _where(text, _has(text, "&"), F.regexp_replace(text, fixed.HTML_ENTITY, " "))
+
+
+def _decode_common(text: Column) -> Column:
     decoded = text
     for entity, character in _COMMON_ENTITIES:
         decoded = F.replace(decoded, F.lit(entity), F.lit(character))
-    decoded = F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
-    native = strip_markup(decoded)
-    native = F.replace(F.translate(native, "\u00a0", " "), F.lit("\u2026"), F.lit("..."))
-    rare = text.rlike(_OTHER_ENTITY) | text.rlike(_NFKC_OTHER)
-    return F.coalesce(_decoder()(F.when(rare, text)), native)
+    return _where(text, _has(text, "&"), decoded)
+
+
+def _normalise_common(text: Column) -> Column:
+    plain = F.replace(F.translate(text, "\u00a0", " "), F.lit("\u2026"), F.lit("..."))
+    return _where(text, _beyond_ascii(text), plain)
 
 
-def mask_contacts(text: Column) -> Column:
-    """URLs, then phone numbers, then e-mail addresses become sentinel tokens."""
-    text = F.regexp_replace(text, "(?iU)" + fixed.URL, " <URL> ")
-    text = F.regexp_replace(text, "(?U)" + fixed.PHONE, " <PHONE> ")
-    return F.regexp_replace(text, fixed.EMAIL, " <EMAIL> ")
+def _rare(text: Column) -> Column:
+    """Whether decoding or normalising needs more than the common cases."""
+    return (_has(text, "&") & text.rlike(_OTHER_ENTITY)) | (
+        _beyond_ascii(text) & text.rlike(_NFKC_OTHER)
+    )
 
 
-def tidy_layout(text: Column) -> Column:
-    """Bullets to newlines, blank runs to one blank, newline runs to two, ends stripped."""
+def mask_urls(text: Column) -> Column:
+    needed = _has(text, "://") | _has(F.lower(text), "www.")
+    return _where(text, needed, F.regexp_replace(text, "(?iU)" + fixed.URL, " <URL> "))
+
+
+def mask_phones(text: Column) -> Column:
+    return F.regexp_replace(text, "(?U)" + fixed.PHONE, " <PHONE> ")
+
+
+def mask_emails(text: Column) -> Column:
+    return _where(text, _has(text, "@"), F.regexp_replace(text, fixed.EMAIL, " <EMAIL> "))
+
+
+def break_bullets(text: Column) -> Column:
+    """A bullet at a line start becomes a newline."""
     # (?d): only \n ends a line, so ^ does not match after a lone \r
-    text = F.regexp_replace(text, "(?dmU)" + fixed.BULLET, "\n")
-    text = F.regexp_replace(text, fixed.HORIZONTAL_SPACE, " ")
-    text = F.regexp_replace(text, fixed.NEWLINE_RUN, "\n\n")
-    return strip(text)
+    return F.regexp_replace(text, "(?dmU)" + fixed.BULLET, "\n")
+
+
+def collapse_blanks(text: Column) -> Column:
+    """Runs of blanks and tabs become one blank; a single blank is left as it is."""
+    return F.regexp_replace(text, fixed.HORIZONTAL_SPACE_TO_CHANGE, " ")
+
+
+def collapse_newlines(text: Column) -> Column:
+    long_run = "\n" * 3
+    return _where(text, _has(text, long_run), F.regexp_replace(text, fixed.NEWLINE_RUN, "\n\n"))
+
+
+STRIP_MARKUP = (strip_tags, strip_entities)
+MASK_CONTACTS = (mask_urls, mask_phones, mask_emails)
+TIDY_LAYOUT = (break_bullets, collapse_blanks, collapse_newlines, strip)
 
 
 def truncate(text: Column, max_length: int = fixed.MAX_TEXT_LENGTH) -> Column:
@@ -99,6 +155,19 @@ def truncate(text: Column, max_length: int = fixed.MAX_TEXT_LENGTH) -> Column:
     return F.substring(F.coalesce(text, F.lit("")), 1, max_length)
 
 
-def clean_description(text: Column, max_length: int = fixed.MAX_TEXT_LENGTH) -> Column:
-    """Clean plain text, never null."""
-    return tidy_layout(mask_contacts(decode_markup(truncate(text, max_length))))
+def decode_markup(df: DataFrame, column: str) -> DataFrame:
+    """Decode entities, strip markup, normalise to NFKC, in place."""
+    whole = F.col(column)
+    df = df.withColumn("_rare", F.when(_rare(whole), whole))
+    df = chain(df, column, (_decode_common, *STRIP_MARKUP, _normalise_common), column)
+    return df.withColumn(column, F.coalesce(_decoder()(F.col("_rare")), F.col(column))).drop(
+        "_rare"
+    )
+
+
+def clean_description(
+    df: DataFrame, column: str, into: str, max_length: int = fixed.MAX_TEXT_LENGTH
+) -> DataFrame:
+    """Add the cleaned plain text of a column, never null."""
+    df = df.withColumn(into, truncate(F.col(column), max_length))
+    return chain(decode_markup(df, into), into, MASK_CONTACTS + TIDY_LAYOUT, into)

@@ -13,6 +13,11 @@ from postwright.functions import coerce, fields, text
 
 log = logging.getLogger(__name__)
 
+EXTRACTED = [
+    "salary_text_min", "salary_text_max", "salary_text_unit", "education_min",
+    "experience_min_years", "experience_max_years", *fixed.FLAGS,
+]
+
 
 def keep_wanted(df: DataFrame) -> DataFrame:
     """Wanted columns that the source has, in the wanted order; the rest is pruned."""
@@ -73,7 +78,7 @@ def clean_postings(
     if column not in df.columns:
         log.warning("column %s not found, nothing to clean", column)
         return df.withColumn("description_clean", F.lit(""))
-    return df.withColumn("description_clean", text.clean_description(F.col(column), max_length))
+    return text.clean_description(df, column, "description_clean", max_length)
 
 
 def extract_fields(df: DataFrame, column: str = "description_clean") -> DataFrame:
@@ -81,23 +86,10 @@ def extract_fields(df: DataFrame, column: str = "description_clean") -> DataFram
     if column not in df.columns:
         log.warning("column %s not found, no fields extracted", column)
         return df
-    source = F.col(column)
-    # Pay and years come out as structs in one projection and are unpacked in the
-    # next, so each pattern runs once per row.
-    found = df.withColumns(
-        {"_pay": fields.salary(source), "_years": fields.experience(source)}
+    found = fields.with_wording(
+        fields.with_experience(fields.with_salary(df, column), column), column
     )
-    return found.withColumns(
-        {
-            "salary_text_min": F.col("_pay.min"),
-            "salary_text_max": F.col("_pay.max"),
-            "salary_text_unit": F.col("_pay.unit"),
-            "education_min": fields.education(source),
-            "experience_min_years": F.col("_years.min"),
-            "experience_max_years": F.col("_years.max"),
-            **{name: fields.flag(source, name) for name in fixed.FLAGS},
-        }
-    ).drop("_pay", "_years")
+    return found.select(*df.columns, *EXTRACTED)
 
 
 def merge_salary(df: DataFrame) -> DataFrame:

@@ -54,8 +54,8 @@ def corpus(taxonomy: DataFrame) -> DataFrame:
 
 def term_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf) rows of a table of short texts, without a shuffle."""
-    terms = texts.select(key, phrases.index_terms(F.col(text)).alias("_terms"))
-    counts = terms.select(key, F.explode(phrases.counted(F.col("_terms"))).alias("_t"))
+    terms = phrases.counted(phrases.index_terms(F.col(text)))
+    counts = texts.select(key, F.explode(terms).alias("_t"))
     return counts.select(key, F.col("_t.item").alias("term"), F.col("_t.n").alias("tf"))
 
 

@@ -46,9 +46,10 @@ def exploded_phrases(
 ) -> DataFrame:
     """One row per posting and distinct window phrase; only ``keep`` columns travel along."""
     sizes = range(1, fixed.MAX_PHRASE_TOKENS + 1) if sizes is None else sizes
-    tokens = postings.select(*keep, phrases.skill_tokens(F.col(text)).alias("_tokens"))
-    found = tokens.select(*keep, phrases.skill_phrases(F.col("_tokens"), sizes).alias("_phrases"))
-    return found.select(*keep, F.explode("_phrases").alias("phrase"))
+    found = phrases.skill_phrases(phrases.skill_tokens(F.col(text)), sizes)
+    # exploded as an expression: over a column, Spark would add a filter on the array's
+    # size and build the array twice
+    return postings.select(*keep, F.explode(found).alias("phrase"))
 
 
 def without_noise(candidates: DataFrame) -> DataFrame:

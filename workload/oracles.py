@@ -31,7 +31,7 @@ def found(text: str, pattern: str) -> str:
 
 
 def strip(text: str) -> str:
-    return sub(text, fixed.STRIP, "")
+    return sub(text, rf"\A{fixed.SPACE}+|{fixed.SPACE}+\z", "")
 
 
 # ------------------------------------------------------------------ scans and typing

@@ -178,39 +178,34 @@ def validate_inputs(spark, folder):
 
 
 def mask_pii(spark, folder):
-    return views.table(spark, folder, "documents").select(
-        "doc_id", text.mask_contacts(F.col("text")).alias("masked")
-    )
+    documents = views.table(spark, folder, "documents")
+    return text.chain(documents, "text", text.MASK_CONTACTS, "masked").select("doc_id", "masked")
 
 
 def strip_html(spark, folder):
-    return views.table(spark, folder, "pages").select(
-        "page_id", coerce.strip(text.strip_markup(F.col("html"))).alias("stripped")
-    )
+    pages = views.table(spark, folder, "pages")
+    steps = (*text.STRIP_MARKUP, coerce.strip)
+    return text.chain(pages, "html", steps, "stripped").select("page_id", "stripped")
 
 
 def tidy_layout(spark, folder):
-    return views.table(spark, folder, "documents").select(
-        "doc_id", text.tidy_layout(F.col("text")).alias("tidied")
-    )
+    documents = views.table(spark, folder, "documents")
+    return text.chain(documents, "text", text.TIDY_LAYOUT, "tidied").select("doc_id", "tidied")
 
 
 def clean_text(spark, folder):
-    return views.table(spark, folder, "pages").select(
-        "page_id", text.clean_description(F.col("html")).alias("cleaned")
-    )
+    pages = views.table(spark, folder, "pages")
+    return text.clean_description(pages, "html", "cleaned").select("page_id", "cleaned")
 
 
 def clean_documents(spark, folder):
-    return views.table(spark, folder, "documents").select(
-        "doc_id", text.clean_description(F.col("text")).alias("cleaned")
-    )
+    documents = views.table(spark, folder, "documents")
+    return text.clean_description(documents, "text", "cleaned").select("doc_id", "cleaned")
 
 
 def clean_conversations(spark, folder):
-    return views.table(spark, folder, "conversations").select(
-        "conv_id", "turn", text.clean_description(F.col("text")).alias("cleaned")
-    )
+    turns = views.table(spark, folder, "conversations")
+    return text.clean_description(turns, "text", "cleaned").select("conv_id", "turn", "cleaned")
 
 
 def description_stats(spark, folder):
