@@ -87,6 +87,7 @@ SPACE_CHARACTERS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
+ASCII_SPACE_CHARACTERS = " \t\n\x0b\x0c\r"
 
 HTML_TAG = r"<[^>]{0,200}>"
 HTML_ENTITY = r"&[a-zA-Z0-9#]{1,10};"

@@ -1,83 +1,92 @@
-"""Text -> typed value, with failures as null instead of errors."""
+"""Text to typed value, with failures as null instead of errors."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from postwright import fixed
+from postwright.functions.sql import cases, listed, quote
 
-_NUMBER = r"\A[ \t\n\x0B\f\r]*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[ \t\n\x0B\f\r]*\z"
+_ASCII_SPACE = r"[ \t\n\x0B\f\r]"
+_NUMBER = rf"\A{_ASCII_SPACE}*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?{_ASCII_SPACE}*\z"
 _INFINITY = r"(?i)\A[+-]?inf(inity)?\z"
 
-_ZONED = r"(?i)(z|utc|gmt|[+-]\d{2}:?\d{2})\z"
-_COMPACT_OFFSET = r"([+-]\d{2})(\d{2})\z"
-# pattern that recognises the layout -> parse format; the zone is appended before parsing
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+_ZONE = r"(?i:z|utc|gmt|[+-]\d{2}:?\d{2})"
+# layout of the text -> parse pattern; the zone is appended before parsing
 _LAYOUTS = [
     (r"\A\d{8}\z", "yyyyMMdd"),
     (r"\A\d{1,2}/\d{1,2}/\d{4}\z", "M/d/yyyy"),
     (r"\A\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}\z", "M/d/yyyy H:mm"),
     (r"\A\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}\z", "M/d/yyyy H:mm:ss"),
-    (r"(?i)\A\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [ap]m\z", "M/d/yyyy h:mm a"),
+    (r"\A\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AP]M\z", "M/d/yyyy h:mm a"),
     (r"\A[A-Z][a-z]{2} \d{1,2}, \d{4}\z", "MMM d, yyyy"),
     (r"\A\d{1,2}-[A-Z][a-z]{2}-\d{4}\z", "d-MMM-yyyy"),
 ]
 
 
-def strip(text: Column) -> Column:
-    """Remove white space of any kind from both ends."""
-    return F.btrim(text, F.lit(fixed.SPACE_CHARACTERS))
+def strip(value: str) -> str:
+    """White space of any kind removed from both ends."""
+    return f"btrim({value}, {quote(fixed.SPACE_CHARACTERS)})"
 
 
-def null_tokens(text: Column) -> Column:
+def null_tokens(value: str) -> str:
     """Null for the texts that stand for a missing value, matched exactly."""
-    return F.when(~text.isin(fixed.NULL_TOKENS), text)
+    return f"CASE WHEN {value} NOT IN ({listed(fixed.NULL_TOKENS)}) THEN {value} END"
 
 
-def tri_state(text: Column) -> Column:
+def tri_state(value: str) -> str:
     """TRUE/FALSE in any case and padding; everything else is null."""
-    word = F.upper(strip(text))
-    return F.when(word == "TRUE", F.lit(True)).when(word == "FALSE", F.lit(False))
+    return f"CASE upper({strip(value)}) WHEN 'TRUE' THEN TRUE WHEN 'FALSE' THEN FALSE END"
 
 
-def to_number(text: Column) -> Column:
+def to_number(value: str) -> str:
     """Double, or null where the text is not a plain decimal number or an infinity.
 
     Java-only spellings (``1d``, hex) are refused by the grammar, and a decimal
     too large for a double is null rather than infinite.
     """
-    value = F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", "").try_cast("double")
-    finite = F.when(text.rlike(_NUMBER) & (F.abs(value) < float("inf")), value)
-    return F.coalesce(finite, F.when(text.rlike(_INFINITY), text.try_cast("double")))
+    number = f"try_cast(btrim({value}, {quote(fixed.ASCII_SPACE_CHARACTERS)}) AS DOUBLE)"
+    return cases(
+        [
+            (
+                f"{value} RLIKE {quote(_NUMBER)}",
+                f"CASE WHEN abs({number}) < double('inf') THEN {number} END",
+            ),
+            (f"{value} RLIKE {quote(_INFINITY)}", f"try_cast({value} AS DOUBLE)"),
+        ]
+    )
 
 
-def to_utc_timestamp(text: Column) -> Column:
-    """Timestamp read as UTC unless the text names an offset; unparsable is null.
+def to_utc_timestamp(value: str) -> str:
+    """Timestamp of a stripped text, read as UTC unless it names an offset; else null.
 
     The zone is always part of the parsed text, so the result does not depend on
     the session time zone.
     """
-    value = strip(text)
-    zoned = F.regexp_replace(value, _COMPACT_OFFSET, "$1:$2")
-    iso = (
-        F.when(value.rlike(r"\A\d{4}\z"), F.concat(value, F.lit("-01-01T00:00:00Z")))
-        .when(value.rlike(r"\A\d{4}-\d{1,2}\z"), F.concat(value, F.lit("-01T00:00:00Z")))
-        .when(value.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}\z"), F.concat(value, F.lit("T00:00:00Z")))
-        .when(value.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}[T ].*" + _ZONED), zoned)
-        .when(value.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}[T ]\d"), F.concat(value, F.lit("Z")))
-    )
-    other = None
-    for pattern, layout in _LAYOUTS:
-        parsed = F.try_to_timestamp(
-            F.concat(F.upper(value) if layout.endswith("a") else value, F.lit(" +0000")),
-            F.lit(layout + " Z"),
-        )
-        other = F.when(value.rlike(pattern), parsed) if other is None else other.when(
-            value.rlike(pattern), parsed
-        )
-    return F.coalesce(iso.try_cast("timestamp"), other)
-
-
-def yes_no(flag: Column) -> Column:
-    """True -> Yes, False -> No, null stays null."""
-    return F.when(flag, F.lit("Yes")).when(~flag, F.lit("No"))
+
+    def like(pattern: str) -> str:
+        return f"{value} RLIKE {quote(pattern)}"
+
+    def cast(text: str) -> str:
+        return f"try_cast({text} AS TIMESTAMP)"
+
+    compact_offset = quote(r"([+-]\d{2})(\d{2})\z")
+    iso = [
+        (like(rf"\A{_DAY}\z"), cast(f"concat({value}, 'T00:00:00Z')")),
+        (
+            like(rf"\A{_DAY}[T ].*{_ZONE}\z"),
+            cast(f"regexp_replace({value}, {compact_offset}, '$1:$2')"),
+        ),
+        (like(rf"\A{_DAY}[T ]\d"), cast(f"concat({value}, 'Z')")),
+        (like(r"\A\d{4}\z"), cast(f"concat({value}, '-01-01T00:00:00Z')")),
+        (like(r"\A\d{4}-\d{1,2}\z"), cast(f"concat({value}, '-01T00:00:00Z')")),
+    ]
+    other = [
+        (like(pattern), f"try_to_timestamp(concat({value}, ' +0000'), {quote(layout + ' Z')})")
+        for pattern, layout in _LAYOUTS
+    ]
+    return cases(iso + other)
+
+
+def yes_no(value: str) -> str:
+    """True as Yes, False as No, null as null."""
+    return f"CASE WHEN {value} THEN 'Yes' WHEN NOT {value} THEN 'No' END"

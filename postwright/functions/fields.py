@@ -1,4 +1,4 @@
-"""Structured fields from cleaned text, as native column expressions.
+"""Structured fields from cleaned text, as native expressions.
 
 Patterns are run only where a cheap substring test allows a match.  Intermediate
 values sit in columns of their own, so that no pattern runs twice on a row; the
@@ -7,15 +7,11 @@ temporary columns start with ``_`` and are dropped at the end.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postwright import fixed
-
-_FLAGS = "(?iU)"
+from postwright.functions.sql import any_of, cases, has, quote
 
 # One of these is in every lower-cased text that the pattern matches.
 _FLAG_HINTS = {
@@ -37,131 +33,112 @@ _TIER_HINTS = {
     "High School Diploma / GED": ["school", "ged", "hsd", "h.s", "hs.d", "hsed"],
 }
 # Letters that match i, s or k regardless of case but do not become one in lower case.
-_ODD_LETTERS = ["\u0130", "\u0131", "\u017f", "\u212a"]
-
+_ODD_LETTERS = ["İ", "ı", "ſ", "K"]
 
-def _any(conditions) -> Column:
-    return reduce(or_, conditions)
 
+def _pattern(pattern: str) -> str:
+    return quote("(?iU)" + pattern)
 
-def _has(text: Column, literal: str) -> Column:
-    return F.contains(text, F.lit(literal))
 
-
-def _matches(text: Column, pattern: str, hints: list[str] | None) -> Column:
-    """Case-insensitive search in ``text``, skipped where no hint is in ``_low``."""
-    found = text.rlike(_FLAGS + pattern)
-    if hints is None:
-        return found
-    possible = F.col("_odd") | _any(_has(F.col("_low"), h) for h in hints)
-    return possible & found
+def _first(text: str, pattern: str) -> str:
+    """First match, empty if none.  Groups are read from this short span, not the text."""
+    return f"regexp_extract({text}, {_pattern(pattern)}, 0)"
 
 
-def _span(text: Column, pattern: str) -> Column:
-    """First match, null if none.  Groups are read from this short span, not the text."""
-    return F.regexp_substr(text, F.lit(_FLAGS + pattern))
+def _group(span: str, pattern: str, n: int) -> str:
+    """Capture group of a span; empty if it took no part."""
+    return f"regexp_extract({span}, {_pattern(pattern)}, {n})"
 
 
-def _groups(span: str, pattern: str, n: int) -> dict[str, Column]:
-    """Capture groups of a matched span; null where a group took no part."""
-    return {
-        f"{span}{g}": F.nullif(
-            F.regexp_extract(F.col(span), _FLAGS + pattern, g), F.lit("")
-        )
-        for g in range(1, n + 1)
-    }
+def _matches(text: str, pattern: str, hints: list[str] | None) -> str:
+    """Case-insensitive search, skipped where no hint is in ``_low``."""
+    found = f"{text} RLIKE {_pattern(pattern)}"
+    if hints is None:
+        return found
+    return f"({any_of(['_odd', *(has('_low', h) for h in hints)])} AND {found})"
 
 
-def _by_unit(unit_text: Column, values: list) -> Column:
-    branches = zip(fixed.PAY_UNITS, values)
-    (_, first, *_), value = next(branches)
-    out = F.when(unit_text.rlike(_FLAGS + first), value)
-    for (_, pattern, *_), value in branches:
-        out = out.when(unit_text.rlike(_FLAGS + pattern), value)
-    return out
+def _add(df: DataFrame, **columns: str) -> DataFrame:
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
 
 
-def _amount(text: Column, scale: float) -> Column:
-    return F.replace(text, F.lit(","), F.lit("")).try_cast("double") * scale
+def _amount(text: str, scale: float) -> str:
+    return f"try_cast(replace({text}, ',', '') AS DOUBLE) * {scale}D"
 
 
 def _with_pay(df: DataFrame, span: str, pattern: str, scale: float, pay: str) -> DataFrame:
     """Add the struct (min, max, unit) of a matched pay span, null if implausible."""
-    df = df.withColumns(_groups(span, pattern, 3))
-    df = df.withColumns(
-        {
-            "_a": _amount(F.col(f"{span}1"), scale),
-            "_b": F.nullif(_amount(F.col(f"{span}2"), scale), F.lit(0.0)),
-            "_u": _by_unit(F.col(f"{span}3"), [F.lit(u) for u, *_ in fixed.PAY_UNITS]),
-        }
+    df = _add(
+        df,
+        _a=_group(span, pattern, 1),
+        _b=_group(span, pattern, 2),
+        _u=_group(span, pattern, 3),
     )
-    low = F.least("_a", "_b")  # least and greatest skip nulls
-    limits = [(F.col("_u") == u) & low.between(lo, hi) for u, _, lo, hi in fixed.PAY_UNITS]
-    both = F.col("_b").isNotNull()
-    record = F.struct(
-        low.alias("min"),
-        F.when(both, F.greatest("_a", "_b")).alias("max"),
-        F.col("_u").alias("unit"),
+    unit = cases(
+        (f"_u RLIKE {_pattern(words)}", quote(label)) for label, words, *_ in fixed.PAY_UNITS
     )
-    return df.withColumn(pay, F.when(_any(limits), record))
+    df = _add(df, _a=_amount("_a", scale), _b=_amount("_b", scale), _u=unit)
+    df = _add(df, _b="CASE WHEN _b <> 0 THEN _b END")
+    # least and greatest skip nulls
+    plausible = any_of(
+        f"(_u = {quote(label)} AND least(_a, _b) BETWEEN {lo}D AND {hi}D)"
+        for label, _, lo, hi in fixed.PAY_UNITS
+    )
+    record = (
+        "named_struct('min', least(_a, _b), "
+        "'max', CASE WHEN _b IS NOT NULL THEN greatest(_a, _b) END, 'unit', _u)"
+    )
+    return _add(df, **{pay: f"CASE WHEN {plausible} THEN {record} END"})
 
 
 def with_salary(df: DataFrame, text: str) -> DataFrame:
     """Add text pay: the dollar form, else the K form, else nulls."""
-    source = F.col(text)
-    dollar = F.when(_has(source, "$"), _span(source, fixed.SALARY_DOLLAR))
-    df = _with_pay(df.withColumn("_s", dollar), "_s", fixed.SALARY_DOLLAR, 1.0, "_dollar")
-    kilo = F.when(F.col("_dollar").isNull(), _span(source, fixed.SALARY_K))
-    df = _with_pay(df.withColumn("_s", kilo), "_s", fixed.SALARY_K, 1_000.0, "_kilo")
-    df = df.withColumn("_pay", F.coalesce("_dollar", "_kilo"))
-    return df.withColumns(
-        {f"salary_text_{part}": F.col(f"_pay.{part}") for part in ("min", "max", "unit")}
-    ).drop("_s", "_s1", "_s2", "_s3", "_a", "_b", "_u", "_dollar", "_kilo", "_pay")
+    dollar = f"CASE WHEN {has(text, '$')} THEN {_first(text, fixed.SALARY_DOLLAR)} END"
+    df = _with_pay(_add(df, _s=dollar), "_s", fixed.SALARY_DOLLAR, 1.0, "_dollar")
+    kilo = f"CASE WHEN _dollar IS NULL THEN {_first(text, fixed.SALARY_K)} END"
+    df = _with_pay(_add(df, _s=kilo), "_s", fixed.SALARY_K, 1_000.0, "_kilo")
+    df = _add(df, _pay="coalesce(_dollar, _kilo)")
+    return _add(df, **{f"salary_text_{part}": f"_pay.{part}" for part in ("min", "max", "unit")})
 
 
 def with_experience(df: DataFrame, text: str) -> DataFrame:
     """Add minimum and maximum years, null where none or out of range."""
-    source = F.col(text)
     # "xper" holds no letter with an odd case variant, so the test is safe on any text
-    span = F.when(_has(F.lower(source), "xper"), _span(source, fixed.EXPERIENCE))
-    df = df.withColumn("_y", span).withColumns(_groups("_y", fixed.EXPERIENCE, 2))
-    word = F.lower("_y1")
-    number = F.when(word == fixed.NUMBER_WORDS[0], F.lit(1.0))
-    for value, name in enumerate(fixed.NUMBER_WORDS[1:], 2):
-        number = number.when(word == name, F.lit(float(value)))
-    df = df.withColumns(
-        {
-            "_low_year": F.coalesce(F.col("_y1").try_cast("double"), number),
-            "_high_year": F.col("_y2").try_cast("double"),
-        }
+    span = f"CASE WHEN {has(f'lower({text})', 'xper')} THEN {_first(text, fixed.EXPERIENCE)} END"
+    df = _add(df, _y=span)
+    df = _add(
+        df,
+        _low_year=f"lower({_group('_y', fixed.EXPERIENCE, 1)})",
+        _high_year=f"try_cast({_group('_y', fixed.EXPERIENCE, 2)} AS DOUBLE)",
+    )
+    words = [
+        (f"_low_year = {quote(word)}", f"{value}D")
+        for value, word in enumerate(fixed.NUMBER_WORDS, 1)
+    ]
+    df = _add(df, _low_year=cases(words, "try_cast(_low_year AS DOUBLE)"))
+    limit = fixed.MAX_EXPERIENCE_YEARS
+    valid = f"_low_year > 0 AND _low_year <= {limit}"
+    upper = f"_high_year > 0 AND _high_year <= {limit} AND _high_year >= _low_year"
+    return _add(
+        df,
+        experience_min_years=f"CASE WHEN {valid} THEN _low_year END",
+        experience_max_years=f"CASE WHEN {valid} AND {upper} THEN _high_year END",
     )
-    low, high, limit = F.col("_low_year"), F.col("_high_year"), fixed.MAX_EXPERIENCE_YEARS
-    valid = (low > 0) & (low <= limit)
-    return df.withColumns(
-        {
-            "experience_min_years": F.when(valid, low),
-            "experience_max_years": F.when(
-                valid & (high > 0) & (high <= limit) & (high >= low), high
-            ),
-        }
-    ).drop("_y", "_y1", "_y2", "_low_year", "_high_year")
 
 
 def with_wording(df: DataFrame, text: str) -> DataFrame:
     """Add the highest education tier mentioned and the eleven wording flags."""
-    source = F.col(text)
-    odd = (F.octet_length(source) != F.length(source)) & _any(
-        _has(source, letter) for letter in _ODD_LETTERS
+    odd = any_of(has(text, letter) for letter in _ODD_LETTERS)
+    df = _add(df, _low=f"lower({text})", _odd=f"octet_length({text}) <> length({text}) AND {odd}")
+    tier = cases(
+        (
+            (_matches(text, pattern, _TIER_HINTS.get(label)), quote(label))
+            for label, pattern in fixed.EDUCATION_TIERS
+        ),
+        quote(fixed.NO_EDUCATION),
     )
-    df = df.withColumns({"_low": F.lower(source), "_odd": odd})
-    (label, pattern), *rest = fixed.EDUCATION_TIERS
-    tier = F.when(_matches(source, pattern, _TIER_HINTS.get(label)), F.lit(label))
-    for label, pattern in rest:
-        tier = tier.when(_matches(source, pattern, _TIER_HINTS.get(label)), F.lit(label))
     flags = {
-        name: F.coalesce(_matches(source, pattern, _FLAG_HINTS[name]), F.lit(False))
+        name: f"coalesce({_matches(text, pattern, _FLAG_HINTS[name])}, FALSE)"
         for name, pattern in fixed.FLAGS.items()
     }
-    return df.withColumns(
-        {"education_min": tier.otherwise(F.lit(fixed.NO_EDUCATION)), **flags}
-    ).drop("_low", "_odd")
+    return _add(df, education_min=tier, **flags)

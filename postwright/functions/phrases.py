@@ -2,75 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
 
 from postwright import fixed
+from postwright.functions.sql import let, listed, quote
 
 
-def skill_tokens(text: Column) -> Column:
+def skill_tokens(text: str) -> str:
     """Lower-cased tokens without stopwords and one-character pieces, in text order."""
-    pieces = F.split(F.lower(text), "(?U)" + fixed.TOKEN_SEPARATOR)
-    return F.filter(
-        pieces,
-        lambda t: (F.length(t) >= fixed.MIN_TOKEN_LENGTH) & ~t.isin(fixed.SKILL_STOPWORDS),
+    pieces = f"split(lower({text}), {quote('(?U)' + fixed.TOKEN_SEPARATOR)})"
+    return (
+        f"filter({pieces}, t -> length(t) >= {fixed.MIN_TOKEN_LENGTH} "
+        f"AND t NOT IN ({listed(fixed.SKILL_STOPWORDS)}))"
     )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over a value computed once.
-
-    An expression used inside a lambda is computed again for every element; a
-    lambda variable is not.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
-def _windows(words: Column, size: int) -> Column:
+def _windows_of(words: str, size: int) -> str:
     """All runs of ``size`` neighbouring words, each joined by one blank."""
     if size == 1:
         return words
-    last = F.size(words) - (size - 1)
     # sequence(1, 0) counts down, so an array too short for the window needs the guard
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
+    starts = (
+        f"CASE WHEN size({words}) >= {size} THEN sequence(1, size({words}) - {size - 1}) "
+        "ELSE array() END"
+    )
+    return f"transform({starts}, i -> array_join(slice({words}, i, {size}), ' '))"
 
 
-def windows(words: Column, sizes: Iterable[int]) -> Column:
+def windows(words: str, sizes: Iterable[int]) -> str:
     """Runs of every size in ``sizes`` as one array, duplicates kept."""
-
-    def all_sizes(bound: Column) -> Column:
-        parts = [_windows(bound, n) for n in sorted(sizes)]
-        return parts[0] if len(parts) == 1 else F.concat(*parts)
-
-    return _let(words, all_sizes)
+    parts = ", ".join(_windows_of("ws", n) for n in sorted(sizes))
+    return let(words, "ws", f"concat({parts})")
 
 
 def skill_phrases(
-    tokens: Column, sizes: Iterable[int] = range(1, fixed.MAX_PHRASE_TOKENS + 1)
-) -> Column:
+    tokens: str, sizes: Iterable[int] = range(1, fixed.MAX_PHRASE_TOKENS + 1)
+) -> str:
     """Distinct window phrases of at least three characters."""
-    return F.array_distinct(
-        F.filter(windows(tokens, sizes), lambda p: F.length(p) >= fixed.MIN_PHRASE_LENGTH)
-    )
+    long_enough = f"p -> length(p) >= {fixed.MIN_PHRASE_LENGTH}"
+    return f"array_distinct(filter({windows(tokens, sizes)}, {long_enough}))"
 
 
-def index_terms(text: Column) -> Column:
+def index_terms(text: str) -> str:
     """Word 1- to 3-grams for the similarity index, duplicates kept."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(fixed.INDEX_WORD), F.lit(0))
+    words = f"regexp_extract_all(lower({text}), {quote(fixed.INDEX_WORD)}, 0)"
     return windows(words, range(1, fixed.MAX_TERM_WORDS + 1))
 
 
-def counted(items: Column) -> Column:
+def counted(items: str) -> str:
     """Array of (item, n) with one entry per distinct item."""
-    return _let(
-        items,
-        lambda all_items: F.transform(
-            F.array_distinct(all_items),
-            lambda t: F.struct(
-                t.alias("item"), F.size(F.filter(all_items, lambda x: x == t)).alias("n")
-            ),
-        ),
+    count = "size(filter(xs, x -> x = t))"
+    return let(
+        items, "xs", f"transform(array_distinct(xs), t -> named_struct('item', t, 'n', {count}))"
     )

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postwright import fixed
 from postwright.functions.coerce import strip
+from postwright.functions.sql import has, quote
 
 # Entities decoded on the JVM.  None decodes to a letter, digit, '#' or ';', so a
 # decoded character cannot complete another entity; '&amp;' is decoded last so
@@ -62,87 +63,88 @@ def _decoder():
     return F.pandas_udf(decode, "string")
 
 
-def _where(text: Column, needed: Column, changed: Column) -> Column:
-    """Run an expensive change only on rows that can need it."""
-    return F.when(needed, changed).otherwise(text)
-
-
-def _has(text: Column, literal: str) -> Column:
-    return F.contains(text, F.lit(literal))
-
-
-def _beyond_ascii(text: Column) -> Column:
-    return F.octet_length(text) != F.length(text)
-
-
 # Every step below names its argument several times, so it must be given a plain
 # column, not an expression; ``chain`` sees to that.
 
 
 def chain(df: DataFrame, source: str, steps: Sequence[Callable], into: str) -> DataFrame:
     """Apply steps one after the other, each in a projection of its own."""
-    df = df.withColumn(into, F.col(source))
+    others = [c for c in df.columns if c != into]
     for step in steps:
-        df = df.withColumn(into, step(F.col(into)))
+        df = df.select(*others, F.expr(step(source)).alias(into))
+        source = into
     return df
 
 
-def strip_tags(text: Column) -> Column:
+def _where(text: str, needed: str, changed: str) -> str:
+    """Run an expensive change only on rows that can need it."""
+    return f"CASE WHEN {needed} THEN {changed} ELSE {text} END"
+
+
+def _swap(text: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({text}, {quote(pattern)}, {quote(by)})"
+
+
+def _beyond_ascii(text: str) -> str:
+    return f"octet_length({text}) <> length({text})"
+
+
+def strip_tags(text: str) -> str:
     """Tags of up to 200 characters become one blank."""
-    return _where(text, _has(text, "<"), F.regexp_replace(text, fixed.HTML_TAG, " "))
+    return _where(text, has(text, "<"), _swap(text, fixed.HTML_TAG, " "))
 
 
-def strip_entities(text: Column) -> Column:
+def strip_entities(text: str) -> str:
     """Leftover entities become one blank."""
-    return _where(text, _has(text, "&"), F.regexp_replace(text, fixed.HTML_ENTITY, " "))
+    return _where(text, has(text, "&"), _swap(text, fixed.HTML_ENTITY, " "))
 
 
-def _decode_common(text: Column) -> Column:
+def _decode_common(text: str) -> str:
     decoded = text
     for entity, character in _COMMON_ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(character))
-    return _where(text, _has(text, "&"), decoded)
+        decoded = f"replace({decoded}, {quote(entity)}, {quote(character)})"
+    return _where(text, has(text, "&"), decoded)
 
 
-def _normalise_common(text: Column) -> Column:
-    plain = F.replace(F.translate(text, "\u00a0", " "), F.lit("\u2026"), F.lit("..."))
+def _normalise_common(text: str) -> str:
+    plain = f"replace(replace({text}, '\u00a0', ' '), '\u2026', '...')"
     return _where(text, _beyond_ascii(text), plain)
 
 
-def _rare(text: Column) -> Column:
-    """Whether decoding or normalising needs more than the common cases."""
-    return (_has(text, "&") & text.rlike(_OTHER_ENTITY)) | (
-        _beyond_ascii(text) & text.rlike(_NFKC_OTHER)
+def _rare(text: str) -> str:
+    """The text where decoding or normalising needs more than the common cases."""
+    return (
+        f"CASE WHEN ({has(text, '&')} AND {text} RLIKE {quote(_OTHER_ENTITY)}) "
+        f"OR ({_beyond_ascii(text)} AND {text} RLIKE {quote(_NFKC_OTHER)}) THEN {text} END"
     )
 
 
-def mask_urls(text: Column) -> Column:
-    needed = _has(text, "://") | _has(F.lower(text), "www.")
-    return _where(text, needed, F.regexp_replace(text, "(?iU)" + fixed.URL, " <URL> "))
+def mask_urls(text: str) -> str:
+    needed = f"({has(text, '://')} OR {has(f'lower({text})', 'www.')})"
+    return _where(text, needed, _swap(text, "(?iU)" + fixed.URL, " <URL> "))
 
 
-def mask_phones(text: Column) -> Column:
-    return F.regexp_replace(text, "(?U)" + fixed.PHONE, " <PHONE> ")
+def mask_phones(text: str) -> str:
+    return _swap(text, "(?U)" + fixed.PHONE, " <PHONE> ")
 
 
-def mask_emails(text: Column) -> Column:
-    return _where(text, _has(text, "@"), F.regexp_replace(text, fixed.EMAIL, " <EMAIL> "))
+def mask_emails(text: str) -> str:
+    return _where(text, has(text, "@"), _swap(text, fixed.EMAIL, " <EMAIL> "))
 
 
-def break_bullets(text: Column) -> Column:
+def break_bullets(text: str) -> str:
     """A bullet at a line start becomes a newline."""
     # (?d): only \n ends a line, so ^ does not match after a lone \r
-    return F.regexp_replace(text, "(?dmU)" + fixed.BULLET, "\n")
+    return _swap(text, "(?dmU)" + fixed.BULLET, "\n")
 
 
-def collapse_blanks(text: Column) -> Column:
+def collapse_blanks(text: str) -> str:
     """Runs of blanks and tabs become one blank; a single blank is left as it is."""
-    return F.regexp_replace(text, fixed.HORIZONTAL_SPACE_TO_CHANGE, " ")
+    return _swap(text, fixed.HORIZONTAL_SPACE_TO_CHANGE, " ")
 
 
-def collapse_newlines(text: Column) -> Column:
-    long_run = "\n" * 3
-    return _where(text, _has(text, long_run), F.regexp_replace(text, fixed.NEWLINE_RUN, "\n\n"))
+def collapse_newlines(text: str) -> str:
+    return _where(text, has(text, "\n\n\n"), _swap(text, fixed.NEWLINE_RUN, "\n\n"))
 
 
 STRIP_MARKUP = (strip_tags, strip_entities)
@@ -150,24 +152,16 @@ MASK_CONTACTS = (mask_urls, mask_phones, mask_emails)
 TIDY_LAYOUT = (break_bullets, collapse_blanks, collapse_newlines, strip)
 
 
-def truncate(text: Column, max_length: int = fixed.MAX_TEXT_LENGTH) -> Column:
-    """First ``max_length`` code points of the raw text; null becomes the empty string."""
-    return F.substring(F.coalesce(text, F.lit("")), 1, max_length)
-
-
-def decode_markup(df: DataFrame, column: str) -> DataFrame:
-    """Decode entities, strip markup, normalise to NFKC, in place."""
-    whole = F.col(column)
-    df = df.withColumn("_rare", F.when(_rare(whole), whole))
-    df = chain(df, column, (_decode_common, *STRIP_MARKUP, _normalise_common), column)
-    return df.withColumn(column, F.coalesce(_decoder()(F.col("_rare")), F.col(column))).drop(
-        "_rare"
-    )
-
-
 def clean_description(
     df: DataFrame, column: str, into: str, max_length: int = fixed.MAX_TEXT_LENGTH
 ) -> DataFrame:
-    """Add the cleaned plain text of a column, never null."""
-    df = df.withColumn(into, truncate(F.col(column), max_length))
-    return chain(decode_markup(df, into), into, MASK_CONTACTS + TIDY_LAYOUT, into)
+    """Add the cleaned plain text of a column, never null.
+
+    Only the first ``max_length`` code points of the raw text are read.
+    """
+    others = [c for c in df.columns if c != into]
+    cut = df.select(*others, F.expr(f"substring(coalesce({column}, ''), 1, {max_length})").alias(into))
+    found = cut.withColumn("_rare", F.expr(_rare(into)))
+    native = chain(found, into, (_decode_common, *STRIP_MARKUP, _normalise_common), into)
+    whole = native.select(*others, F.coalesce(_decoder()("_rare"), into).alias(into))
+    return chain(whole, into, MASK_CONTACTS + TIDY_LAYOUT, into)

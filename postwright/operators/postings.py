@@ -13,6 +13,7 @@ from postwright.functions import coerce, fields, text
 
 log = logging.getLogger(__name__)
 
+ROW_KEY = "posting_key"
 EXTRACTED = [
     "salary_text_min", "salary_text_max", "salary_text_unit", "education_min",
     "experience_min_years", "experience_max_years", *fixed.FLAGS,
@@ -20,17 +21,20 @@ EXTRACTED = [
 
 
 def keep_wanted(df: DataFrame) -> DataFrame:
-    """Wanted columns that the source has, in the wanted order; the rest is pruned."""
+    """Wanted columns that the source has, in the wanted order; the rest is pruned.
+
+    A row key given by the source stays.
+    """
     missing = set(fixed.POSTING_COLUMNS) - set(df.columns)
     if missing:
         log.warning("columns not in the source: %s", sorted(missing))
-    return df.select(*[c for c in fixed.POSTING_COLUMNS if c in df.columns])
+    return df.select(*[c for c in (*fixed.POSTING_COLUMNS, ROW_KEY) if c in df.columns])
 
 
 def null_missing(df: DataFrame) -> DataFrame:
     """Missing-value texts of every text column become null."""
     return df.withColumns(
-        {name: coerce.null_tokens(F.col(name)) for name, kind in df.dtypes if kind == "string"}
+        {c: F.expr(coerce.null_tokens(c)) for c, kind in df.dtypes if kind == "string"}
     )
 
 
@@ -43,14 +47,16 @@ def drop_expired(df: DataFrame) -> DataFrame:
 
 def type_postings(df: DataFrame) -> DataFrame:
     """Text columns to their types; what does not parse is null."""
-    typed: dict[str, Column] = {}
+    # stripped in a step of its own, because the conversion looks at the text many times
+    stripped = [c for c in (*fixed.TIMESTAMP_COLUMNS, "system_job_id") if c in df.columns]
+    df = df.withColumns({c: F.expr(coerce.strip(c)) for c in stripped})
+    typed = {}
     for names, convert in (
         (fixed.BOOLEAN_COLUMNS, coerce.tri_state),
         (fixed.NUMERIC_COLUMNS, coerce.to_number),
         (fixed.TIMESTAMP_COLUMNS, coerce.to_utc_timestamp),
-        (["system_job_id"], coerce.strip),
     ):
-        typed.update({n: convert(F.col(n)) for n in names if n in df.columns})
+        typed.update({c: F.expr(convert(c)) for c in names if c in df.columns})
     return df.withColumns(typed)
 
 
@@ -95,34 +101,22 @@ def extract_fields(df: DataFrame, column: str = "description_clean") -> DataFram
 def merge_salary(df: DataFrame) -> DataFrame:
     """Final salary: structured columns first, extracted ones second, each on its own."""
 
-    def pick(structured: str, extracted: str, kind: str) -> Column:
-        present = [F.col(c) for c in (structured, extracted) if c in df.columns]
-        return F.coalesce(*present) if present else F.lit(None).cast(kind)
-
-    unit = "parameters_salary_unit"
-    source = df
-    if unit in df.columns:
-        source = df.withColumn("_unit", F.nullif(F.col(unit), F.lit("")))
-    else:
-        source = df.withColumn("_unit", F.lit(None).cast("string"))
-    text_unit = F.col("salary_text_unit") if "salary_text_unit" in df.columns else F.lit(None)
-    return (
-        source.withColumns(
-            {
-                "salary_final_min": pick("parameters_salary_min", "salary_text_min", "double"),
-                "salary_final_max": pick("parameters_salary_max", "salary_text_max", "double"),
-            }
-        )
-        .withColumn(
-            "salary_final_unit",
-            F.coalesce(
-                F.col("_unit"),
-                text_unit,
-                F.when(F.col("salary_final_min").isNotNull(), F.lit("annual")),
-            ),
-        )
-        .drop("_unit")
-    )
+    def first_of(*columns: str) -> Column:
+        present = [F.col(c) for c in columns if c in df.columns]
+        return F.coalesce(*present) if present else F.lit(None).cast("double")
+
+    units = []
+    if "parameters_salary_unit" in df.columns:
+        units.append(F.expr("CASE WHEN parameters_salary_unit <> '' THEN parameters_salary_unit END"))
+    if "salary_text_unit" in df.columns:
+        units.append(F.col("salary_text_unit"))
+    units.append(F.expr("CASE WHEN salary_final_min IS NOT NULL THEN 'annual' END"))
+    return df.withColumns(
+        {
+            "salary_final_min": first_of("parameters_salary_min", "salary_text_min"),
+            "salary_final_max": first_of("parameters_salary_max", "salary_text_max"),
+        }
+    ).withColumn("salary_final_unit", F.coalesce(*units))
 
 
 def structure_fields(df: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def corpus(taxonomy: DataFrame) -> DataFrame:
 
 def term_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf) rows of a table of short texts, without a shuffle."""
-    terms = phrases.counted(phrases.index_terms(F.col(text)))
+    terms = F.expr(phrases.counted(phrases.index_terms(text)))
     counts = texts.select(key, F.explode(terms).alias("_t"))
     return counts.select(key, F.col("_t.item").alias("term"), F.col("_t.n").alias("tf"))
 

@@ -16,10 +16,10 @@ from pyspark.sql.window import Window
 
 from postwright import fixed
 from postwright.functions import phrases
+from postwright.operators.postings import ROW_KEY
 from postwright.operators.shaping import Reference, first_per, join_spread, measured, probe
 from postwright.operators.taxonomy import exact_lookup
 
-ROW_KEY = "posting_key"
 ID = "system_job_id"
 
 
@@ -46,10 +46,10 @@ def exploded_phrases(
 ) -> DataFrame:
     """One row per posting and distinct window phrase; only ``keep`` columns travel along."""
     sizes = range(1, fixed.MAX_PHRASE_TOKENS + 1) if sizes is None else sizes
-    found = phrases.skill_phrases(phrases.skill_tokens(F.col(text)), sizes)
+    found = phrases.skill_phrases(phrases.skill_tokens(text), sizes)
     # exploded as an expression: over a column, Spark would add a filter on the array's
     # size and build the array twice
-    return postings.select(*keep, F.explode(found).alias("phrase"))
+    return postings.select(*keep, F.explode(F.expr(found)).alias("phrase"))
 
 
 def without_noise(candidates: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def _best_first(df: DataFrame, keys: list[str]) -> list:
 def clean_taxonomy(df: DataFrame, threshold: float = fixed.TAXONOMY_THRESHOLD) -> DataFrame:
     """Threshold, normalise the texts, keep the best row per (research_id, raw_skill)."""
     kept = df.filter(F.col("correlation") >= threshold).withColumns(
-        {c: F.lower(strip(F.col(c))) for c in fixed.TAXONOMY_TEXT_COLUMNS}
+        {c: F.expr(f"lower({strip(c)})") for c in fixed.TAXONOMY_TEXT_COLUMNS}
     )
     keys = ["research_id", "raw_skill"]
     return first_per(kept, keys, _best_first(kept, keys))

@@ -37,7 +37,7 @@ def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
 
 def render_booleans(df: DataFrame) -> DataFrame:
     """Every boolean column as Yes, No or null."""
-    return df.withColumns({c: yes_no(F.col(c)) for c, kind in df.dtypes if kind == "boolean"})
+    return df.withColumns({c: F.expr(yes_no(c)) for c, kind in df.dtypes if kind == "boolean"})
 
 
 def format_jobs(jobs: DataFrame, include_description: bool = False) -> DataFrame:

@@ -68,8 +68,8 @@ def raw_taxonomy(
 ) -> DataFrame:
     """Taxonomy rows as read, with snake-case names and a numeric correlation."""
     df = taxonomy.rename_taxonomy(_read(spark, path, fmt, multi_line))
-    df = df.withColumns({c: null_tokens(F.col(c)) for c in df.columns})
-    return df.withColumn("correlation", to_number(F.col("correlation")))
+    df = df.withColumns({c: F.expr(null_tokens(c)) for c in df.columns})
+    return df.withColumn("correlation", F.expr(to_number("correlation")))
 
 
 def _input_status(spark: SparkSession, name: str, path: str) -> DataFrame:

@@ -117,7 +117,7 @@ def active_only(spark, folder):
 
 def tri_bool(spark, folder):
     return views.postings(spark, folder).select(
-        ID, F.col("expired").alias("raw"), coerce.tri_state(F.col("expired")).alias("expired")
+        ID, F.col("expired").alias("raw"), F.expr(coerce.tri_state("expired")).alias("expired")
     )
 
 
@@ -125,20 +125,17 @@ def numeric_coerce(spark, folder):
     return views.postings(spark, folder).select(
         ID,
         *[
-            coerce.to_number(F.col(c)).alias(c)
+            F.expr(coerce.to_number(c)).alias(c)
             for c in ("parameters_salary_min", "parameters_salary_max")
         ],
     )
 
 
 def timestamp_coerce(spark, folder):
-    return views.postings(spark, folder).select(
-        ID,
-        *[
-            F.unix_timestamp(coerce.to_utc_timestamp(F.col(c))).alias(c)
-            for c in fixed.TIMESTAMP_COLUMNS
-        ],
+    typed = postings.type_postings(
+        views.postings(spark, folder).select(ID, *fixed.TIMESTAMP_COLUMNS)
     )
+    return _epochs(typed)
 
 
 def null_tokens(spark, folder):
@@ -276,7 +273,7 @@ def unknown_sources(spark, folder):
 
 
 def skill_tokens(spark, folder):
-    tokens = phrases.skill_tokens(F.col("text"))
+    tokens = F.expr(phrases.skill_tokens("text"))
     return (
         views.table(spark, folder, "documents")
         .select("doc_id", tokens.alias("tokens"))
