@@ -30,8 +30,6 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.files.maxPartitionBytes", "512k")
-        .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

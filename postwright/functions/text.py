@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,11 +44,13 @@ def _decoder():
     # this package installed.
     tag, entity = fixed.HTML_TAG, fixed.HTML_ENTITY
 
-    def decode(texts: pd.Series) -> pd.Series:
+    def decode(texts):
         import html
         import re
         import unicodedata
 
+        import pyarrow as pa
+
         drop_tags, drop_entities = re.compile(tag), re.compile(entity)
 
         def one(text):
@@ -57,10 +59,10 @@ def _decoder():
             text = drop_tags.sub(" ", html.unescape(text))
             return unicodedata.normalize("NFKC", drop_entities.sub(" ", text))
 
-        return texts.map(one, na_action="ignore")
+        return pa.array([one(text) for text in texts.to_pylist()], pa.string())
 
-    decode.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(decode, "string")
+    decode.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(decode, "string")
 
 
 # Every step below names its argument several times, so it must be given a plain

@@ -31,6 +31,17 @@ def keep_wanted(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in (*fixed.POSTING_COLUMNS, ROW_KEY) if c in df.columns])
 
 
+def with_row_key(df: DataFrame) -> DataFrame:
+    """Give every posting row a key, unless it has one.
+
+    The key follows partition and row order, so it is best given on a scan,
+    where a repeated task yields the same rows in the same order.
+    """
+    if ROW_KEY in df.columns:
+        return df
+    return df.withColumn(ROW_KEY, F.monotonically_increasing_id())
+
+
 def null_missing(df: DataFrame) -> DataFrame:
     """Missing-value texts of every text column become null."""
     return df.withColumns(

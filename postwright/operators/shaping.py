@@ -16,6 +16,16 @@ BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.005
 
 
+def fill_cores(scan: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer partitions than the session has cores.
+
+    Text work costs far more than moving a small input, and some files cannot be
+    split.  A large scan has partitions enough and is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def first_per(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from postwright import fixed
 from postwright.functions import phrases
-from postwright.operators.postings import ROW_KEY
+from postwright.operators.postings import ROW_KEY, with_row_key
 from postwright.operators.shaping import Reference, first_per, join_spread, measured, probe
 from postwright.operators.taxonomy import exact_lookup
 
@@ -34,13 +34,6 @@ def build_lookup(taxonomy: DataFrame) -> Reference:
     return measured(table, sizes=F.array_sort(F.collect_set(F.when(usable, words))))
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
-    """Give every posting row a key, unless it was stored with one."""
-    if ROW_KEY in df.columns:
-        return df
-    return df.withColumn(ROW_KEY, F.monotonically_increasing_id())
-
-
 def exploded_phrases(
     postings: DataFrame, keep: Sequence[str], sizes: Sequence[int] | None = None, text: str = "description_clean"
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from postwright import fixed
 from postwright.functions.coerce import null_tokens, to_number
 from postwright.operators import postings, taxonomy
+from postwright.operators.shaping import fill_cores
 
 # doubled quotes inside quoted fields, blanks kept
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -34,12 +35,20 @@ def scan_postings(
     fmt: str = "csv",
     multi_line: bool = True,
 ) -> DataFrame:
-    """Typed postings of one path or of several with differing headers."""
+    """Typed postings of one path or of several with differing headers.
+
+    Every row gets its key here.  A sample is the first rows that the scan
+    delivers; tasks stop reading at the sample size.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     raw = [postings.keep_wanted(_read(spark, p, fmt, multi_line)) for p in paths]
     if not raw:
         return empty_postings(spark)
-    return postings.prepare_postings(postings.union_sources(raw), active_only, sample_size)
+    keyed = postings.with_row_key(postings.union_sources(raw))
+    if sample_size is None:
+        return postings.prepare_postings(fill_cores(keyed), active_only)
+    sample = postings.prepare_postings(keyed, active_only, sample_size)
+    return sample.repartition(spark.sparkContext.defaultParallelism)  # a limit ends in one
 
 
 def posting_schema() -> T.StructType:

@@ -30,7 +30,9 @@ def _prepared(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return postings.clean_postings(_prepared(spark, folder))
+    """Cleaned postings; their ids are unique and serve as row keys."""
+    cleaned = postings.clean_postings(_prepared(spark, folder))
+    return cleaned.withColumn(skills.ROW_KEY, F.col(ID))
 
 
 def _fields(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -50,9 +52,7 @@ def _index(spark: SparkSession, folder: str) -> similarity.SimilarityIndex:
 
 
 def _scan(spark: SparkSession, folder: str) -> DataFrame:
-    return skills.vocabulary_scan(
-        skills.with_row_key(_cleaned(spark, folder)), _lookup(spark, folder)
-    )
+    return skills.vocabulary_scan(_cleaned(spark, folder), _lookup(spark, folder))
 
 
 def _mapped(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,13 +71,14 @@ def _title_phrases(df: DataFrame) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = _cleaned(spark, folder).withColumn(skills.ROW_KEY, F.col(ID))
+    keyed = _cleaned(spark, folder)
     scan = skills.vocabulary_scan(keyed, _lookup(spark, folder))
     return skills.union_candidates(scan, _title_phrases(keyed))
 
 
 def _structured(spark: SparkSession, folder: str) -> plans.Structured:
-    return plans.structure(_prepared(spark, folder), _lookup(spark, folder))
+    keyed = _prepared(spark, folder).withColumn(skills.ROW_KEY, F.col(ID))
+    return plans.structure(keyed, _lookup(spark, folder))
 
 
 def _epochs(df: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def scan_postings_csv(spark, folder):
     """The raw postings written as CSV and scanned back."""
     path = work_path(spark, f"csv-{uuid.uuid4().hex}")
     sinks.write_table(views.postings(spark, folder), path)
-    return _epochs(sources.scan_postings(spark, path))
+    return _epochs(sources.scan_postings(spark, path)).drop(skills.ROW_KEY)
 
 
 def scan_taxonomy_csv(spark, folder):
@@ -433,7 +434,7 @@ def full_run(spark, folder):
 def _streamed(spark, folder):
     """The postings as a stream of the stored table, structured batch by batch."""
     base = work_path(spark, f"stream-{uuid.uuid4().hex}")
-    schema = views.table(spark, folder, "orders").schema
+    schema = spark.read.parquet(f"{folder}/orders.parquet").schema
     orders = (
         spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(folder)
     )

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postwright.operators.shaping import fill_cores
+
 POSTINGS = """
 SELECT
   CAST(o_orderkey AS STRING) AS system_job_id,
@@ -49,7 +51,7 @@ FROM part
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return fill_cores(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def postings_from(orders: DataFrame, part: DataFrame) -> DataFrame:
