@@ -55,6 +55,10 @@ class Reference:
         """The same reference with fewer columns; the measured size stays an upper bound."""
         return replace(self, table=self.table.select(*columns))
 
+    def release(self) -> None:
+        """Drop the cached rows; the table stays usable."""
+        self.table.unpersist()
+
     def fits(self, limit: int | None = None) -> bool:
         return self.bytes <= (BROADCAST_BYTES if limit is None else limit)
 
@@ -123,22 +127,28 @@ def probe(
     return salted.join(repeated, [on, "_salt"], how).drop("_salt")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, k: int = 200) -> list[str]:
+@dataclass(frozen=True)
+class Skew:
+    """What is known about the keys of a large table: the hot ones, and if nulls are many."""
+
+    keys: list[str]
+    nulls: bool = False
+
+
+def find_skew(df: DataFrame, key: str, share: float = HOT_SHARE, k: int = 200) -> Skew:
     """Keys that hold at least ``share`` of the rows, from one frequent-items sketch.
 
     The sketch is merged map-side and has a fixed size; at most ``k`` keys come
     back.  It steers the physical layout only; no row depends on it.
     """
-    row = (
-        df.filter(F.col(key).isNotNull())
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"approx_top_k({key}, {k}, 4096)").alias("top"),
-        )
-        .first()
-    )
+    row = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(key).isNull()).alias("nulls"),
+        F.expr(f"approx_top_k({key}, {k}, 4096)").alias("top"),
+    ).first()
     least = max(2.0, share * row["rows"])
-    return [item["item"] for item in row["top"] or [] if item["count"] >= least]
+    hot = [i["item"] for i in row["top"] or [] if i["item"] is not None and i["count"] >= least]
+    return Skew(hot, row["nulls"] >= least)
 
 
 def join_spread(
@@ -147,28 +157,21 @@ def join_spread(
     key: str,
     spread_by: Sequence[str],
     how: str = "left",
-    hot: list[str] | None = None,
+    skew: Skew | None = None,
 ) -> DataFrame:
     """Equi-join of two large tables where a few keys may fill much of the left side.
 
     Only the hot keys are salted: their left rows scatter over the salts and
     their right rows are repeated, while all other keys join as usual.  Left
-    rows with a null key match nothing and scatter as well.  ``how`` is
-    ``inner`` or ``left``; the right side must not repeat keys beyond what the
-    join is meant to multiply.
+    rows with a null key match nothing; where they are many they scatter too.
+    ``how`` is ``inner`` or ``left``.
     """
-    hot = hot_keys(left, key) if hot is None else hot
+    skew = find_skew(left, key) if skew is None else skew
+    if not skew.keys and not skew.nulls:
+        return left.join(right, key, how)
     salts = _spread(left)
-    scatter = _scatter(salts, spread_by)
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-    salted = left.withColumn(
-        "_salt", F.when(F.col(key).isNull() | is_hot, scatter).otherwise(F.lit(0))
-    )
-    if hot:
-        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-            F.array(F.lit(0))
-        )
-        repeated = right.withColumn("_salt", F.explode(copies))
-    else:
-        repeated = right.withColumn("_salt", F.lit(0))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    is_hot = F.col(key).isin(skew.keys) if skew.keys else F.lit(False)
+    salt = F.when(F.col(key).isNull() | is_hot, _scatter(salts, spread_by)).otherwise(F.lit(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn("_salt", F.explode(copies))
+    return left.withColumn("_salt", salt).join(repeated, [key, "_salt"], how).drop("_salt")

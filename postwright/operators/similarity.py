@@ -10,14 +10,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postwright import fixed
 from postwright.functions import phrases
+from postwright.functions.sql import let
 from postwright.operators.shaping import (
     HOT_SHARE,
     Reference,
+    Skew,
     first_per,
     join_spread,
     measured,
@@ -79,16 +81,9 @@ def _vectors(counts: DataFrame, terms: Reference, key: str) -> DataFrame:
     gathered = weighted.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("weight", "term")), asc=False).alias("_raw")
     )
-    squares = F.aggregate("_raw", F.lit(0.0), lambda s, x: s + x["weight"] * x["weight"])
-    return gathered.withColumn("_norm", F.sqrt(squares)).select(
-        key,
-        F.transform(
-            "_raw",
-            lambda x: F.struct(
-                (x["weight"] / F.col("_norm")).alias("weight"), x["term"].alias("term")
-            ),
-        ).alias("vector"),
-    )
+    norm = "sqrt(aggregate(_raw, 0D, (s, x) -> s + x.weight * x.weight))"
+    scaled = "transform(_raw, x -> named_struct('weight', x.weight / norm, 'term', x.term))"
+    return gathered.select(key, F.expr(let(norm, "norm", scaled)).alias("vector"))
 
 
 def build_index(taxonomy: DataFrame, max_terms: int = fixed.MAX_TERMS) -> SimilarityIndex:
@@ -127,26 +122,20 @@ def phrase_vectors(distinct_phrases: DataFrame, index: SimilarityIndex) -> DataF
     )
 
 
-def _leading_terms(vector: Column, bound: float) -> Column:
+def _leading_terms(vector: str, bound: float) -> str:
     """Shortest head of the vector (heaviest terms first) whose tail is shorter than ``bound``.
 
     A document that shares only tail terms with the phrase has a cosine of at
     most the tail's length, so every document that reaches the bound shares a
     term of the head.
     """
-    head = F.aggregate(
-        vector,
-        F.struct(F.lit(1.0).alias("left"), F.lit(0).alias("n")),
-        lambda s, x: F.when(
-            F.sqrt(F.greatest(s["left"], F.lit(0.0))) >= bound * (1.0 - 1e-6) - _SLACK,
-            F.struct(
-                (s["left"] - x["weight"] * x["weight"]).alias("left"),
-                (s["n"] + 1).alias("n"),
-            ),
-        ).otherwise(s),
-        lambda s: s["n"],
+    safe = bound * (1.0 - 1e-6) - _SLACK
+    step = (
+        f"(s, x) -> CASE WHEN sqrt(greatest(s.rest, 0D)) >= {safe!r}D "
+        "THEN named_struct('rest', s.rest - x.weight * x.weight, 'n', s.n + 1) ELSE s END"
     )
-    return F.slice(vector, 1, head)
+    head = f"aggregate({vector}, named_struct('rest', 1D, 'n', 0), {step}, s -> s.n)"
+    return f"transform(slice({vector}, 1, {head}), x -> x.term)"
 
 
 def similar_skills(
@@ -165,29 +154,19 @@ def similar_skills(
     best = index.documents.facts["best"] or 0.0
     bound = max(fixed.MIN_COSINE, min_confidence / best if best > 0 else fixed.MIN_COSINE)
     vectors = phrase_vectors(distinct_phrases.select("phrase"), index)
-    headed = vectors.withColumn("_head", _leading_terms(F.col("vector"), bound))
-    leads = headed.select(
-        "phrase",
-        "vector",
-        F.transform("_head", lambda x: x["term"]).alias("_head"),
-        F.posexplode(F.transform("_head", lambda x: x["term"])).alias("_at", "term"),
-    )
+    headed = vectors.withColumn("_head", F.expr(_leading_terms("vector", bound)))
+    leads = headed.select("phrase", "vector", "_head", F.posexplode("_head").alias("_at", "term"))
     pairs = probe(leads, index.postings, "term", ["phrase"], "inner", limit)
     scored = probe(pairs, index.documents, "doc", ["phrase", "term"], "inner", limit)
     # a document met through several head terms counts once: through the first
-    weights = F.col("weights")
-    earlier = F.exists(
-        F.slice("_head", F.lit(1), F.col("_at")), lambda t: F.map_contains_key(weights, t)
-    )
-    cosine = F.aggregate(
-        "vector",
-        F.lit(0.0),
-        lambda s, x: s + x["weight"] * F.coalesce(F.try_element_at(weights, x["term"]), F.lit(0.0)),
+    earlier = F.expr("exists(slice(_head, 1, _at), t -> map_contains_key(weights, t))")
+    cosine = F.expr(
+        "aggregate(vector, 0D, "
+        "(s, x) -> s + x.weight * coalesce(try_element_at(weights, x.term), 0D))"
     )
     cosines = (
         scored.filter(~earlier)
         .withColumn("cosine", F.bround(cosine, _COSINE_DIGITS))
-        .filter(F.col("cosine") >= fixed.MIN_COSINE)
         .select(
             "phrase", "cosine", "correlation", "taxonomy_skill", "taxonomy_description",
             "taxonomy_source",
@@ -196,6 +175,8 @@ def similar_skills(
     order = [F.col("cosine").desc(), F.col("taxonomy_skill").asc_nulls_last()]
     return (
         first_per(cosines, ["phrase"], order, top_k)
+        # only now: before the ranking this would compute every cosine twice
+        .filter(F.col("cosine") >= fixed.MIN_COSINE)
         .withColumn("_confidence", F.col("cosine") * F.col("correlation"))
         .filter(F.col("_confidence") >= min_confidence)
         .select(
@@ -231,4 +212,4 @@ def similarity_matches(
     matches = similar_skills(counts.table, index, min_confidence, top_k, limit)
     renamed = candidates.withColumnRenamed("phrase", "raw_skill")
     spread = [c for c in renamed.columns if c != "raw_skill"]
-    return join_spread(renamed, matches, "raw_skill", spread, "inner", hot)
+    return join_spread(renamed, matches, "raw_skill", spread, "inner", Skew(hot))
