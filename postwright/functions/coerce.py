@@ -69,13 +69,16 @@ def to_utc_timestamp(value: str) -> str:
     def cast(text: str) -> str:
         return f"try_cast({text} AS TIMESTAMP)"
 
-    compact_offset = quote(r"([+-]\d{2})(\d{2})\z")
+    def swap(text: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({text}, {quote(pattern)}, {quote(by)})"
+
+    # an offset needs its colon, a time its seconds
+    zoned = swap(f"upper({value})", r"([+-]\d{2})(\d{2})\z", "$1:$2")
+    zoned = swap(zoned, rf"([T ]\d{{1,2}}:\d{{2}})({_ZONE})\z", "$1:00$2")
     iso = [
         (like(rf"\A{_DAY}\z"), cast(f"concat({value}, 'T00:00:00Z')")),
-        (
-            like(rf"\A{_DAY}[T ].*{_ZONE}\z"),
-            cast(f"regexp_replace({value}, {compact_offset}, '$1:$2')"),
-        ),
+        (like(rf"\A{_DAY}[T ].*{_ZONE}\z"), cast(zoned)),
+        (like(rf"\A{_DAY}[T ]\d{{1,2}}:\d{{2}}\z"), cast(f"concat({value}, ':00Z')")),
         (like(rf"\A{_DAY}[T ]\d"), cast(f"concat({value}, 'Z')")),
         (like(r"\A\d{4}\z"), cast(f"concat({value}, '-01-01T00:00:00Z')")),
         (like(r"\A\d{4}-\d{1,2}\z"), cast(f"concat({value}, '-01T00:00:00Z')")),

@@ -72,10 +72,11 @@ def vocabulary(counts: DataFrame, documents: int, max_terms: int = fixed.MAX_TER
     )
 
 
-def _vectors(counts: DataFrame, terms: Reference, key: str) -> DataFrame:
+def _vectors(
+    counts: DataFrame, terms: Reference, key: str, limit: int | None = None
+) -> DataFrame:
     """Unit vector per key as an array of (weight, term), heaviest first."""
-    # the vocabulary has at most MAX_TERMS rows, whatever the data
-    weighted = counts.join(F.broadcast(terms.table.select("term", "idf")), "term").select(
+    weighted = probe(counts, terms.only("term", "idf"), "term", [key], "inner", limit).select(
         key, ((1.0 + F.log("tf")) * F.col("idf")).alias("weight"), "term"
     )
     gathered = weighted.groupBy(key).agg(
@@ -113,12 +114,15 @@ def index_weights(index: SimilarityIndex) -> DataFrame:
     )
 
 
-def phrase_vectors(distinct_phrases: DataFrame, index: SimilarityIndex) -> DataFrame:
+def phrase_vectors(
+    distinct_phrases: DataFrame, index: SimilarityIndex, limit: int | None = None
+) -> DataFrame:
     """Unit vector per phrase in the fitted vocabulary; phrases without known terms drop out."""
     return _vectors(
         term_counts(distinct_phrases.withColumn("_text", F.col("phrase")), "phrase", "_text"),
         index.vocabulary,
         "phrase",
+        limit,
     )
 
 
@@ -153,7 +157,7 @@ def similar_skills(
     """
     best = index.documents.facts["best"] or 0.0
     bound = max(fixed.MIN_COSINE, min_confidence / best if best > 0 else fixed.MIN_COSINE)
-    vectors = phrase_vectors(distinct_phrases.select("phrase"), index)
+    vectors = phrase_vectors(distinct_phrases.select("phrase"), index, limit)
     headed = vectors.withColumn("_head", F.expr(_leading_terms("vector", bound)))
     leads = headed.select("phrase", "vector", "_head", F.posexplode("_head").alias("_at", "term"))
     pairs = probe(leads, index.postings, "term", ["phrase"], "inner", limit)

@@ -168,7 +168,11 @@ def map_postings(
     """
     keyed = with_row_key(postings)
     windows = window_candidates(keyed, lookup, (ROW_KEY, id_col), text)
-    ranked = rank_mappings(exact_matches(windows, lookup, min_confidence, limit), max_skills)
+    mapped = exact_matches(windows, lookup, min_confidence, limit)
+    # Row keys are unique and a posting's phrases are bounded by its text, so one
+    # exchange on the row key serves both rankings.  Candidates from elsewhere have no
+    # such bound: rank_mappings alone groups those by (key, skill) first.
+    ranked = rank_mappings(mapped.repartition(ROW_KEY), max_skills)
     columns = [id_col if c == ID else c for c in fixed.SKILL_OUTPUT_COLUMNS]
     return with_details(ranked, lookup, limit).select(*columns)
 
