@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "postwright", **settings: str) -> SparkSession:
@@ -37,3 +37,9 @@ def work_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder()
     return f"{base.rstrip('/')}/{name}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a table once and go on from the file: what follows no longer depends on the past."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

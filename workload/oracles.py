@@ -245,12 +245,15 @@ def tokens(text: str) -> str:
 def phrase_ctes(source: str, key: str, text: str) -> str:
     """(key, phrase) of all window phrases, without benefit words."""
     size = fixed.MAX_PHRASE_TOKENS
+    leads = ", ".join(f"lead(t1, {n - 1}) OVER w AS t{n}" for n in range(2, size + 1))
+    # a window that would run past the last token is null
+    joined = [" || ' ' || ".join(f"t{i}" for i in range(1, n + 1)) for n in range(1, size + 1)]
     return f"""tok AS (SELECT {key}, {tokens(text)} AS ts FROM {source}),
-starts AS (SELECT {key}, ts, unnest(range(1, len(ts) + 1)) AS i FROM tok),
-spans AS (SELECT {key}, ts, i, unnest(range(i, least(i + {size - 1}, len(ts)) + 1)) AS j
-  FROM starts),
-phrases AS (SELECT DISTINCT {key}, array_to_string(ts[i:j], ' ') AS phrase FROM spans
-  WHERE length(array_to_string(ts[i:j], ' ')) >= {fixed.MIN_PHRASE_LENGTH})"""
+placed AS (SELECT {key}, unnest(ts) AS t1, generate_subscripts(ts, 1) AS i FROM tok),
+runs AS (SELECT {key}, t1, {leads} FROM placed WINDOW w AS (PARTITION BY {key} ORDER BY i)),
+phrases AS (SELECT DISTINCT {key}, phrase FROM
+  (SELECT {key}, unnest([{', '.join(joined)}]) AS phrase FROM runs)
+  WHERE length(phrase) >= {fixed.MIN_PHRASE_LENGTH})"""
 
 
 NOISE = f"phrase NOT IN ({listed(fixed.BENEFIT_NOISE)})"

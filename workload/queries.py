@@ -12,7 +12,7 @@ from postwright.functions import coerce, phrases, text
 from postwright.operators import mapping, postings, report, similarity, skills, taxonomy
 from postwright.operators.shaping import Reference
 from postwright.plans import structure as plans
-from postwright.session import work_path
+from postwright.session import stored, work_path
 from postwright.sinks import tables as sinks
 from postwright.sources import tables as sources
 from postwright.streaming import incremental
@@ -385,8 +385,9 @@ def skill_tfidf_top3(spark, folder):
 
 
 def map_to_taxonomy(spark, folder):
+    path = work_path(spark, f"candidates-{uuid.uuid4().hex}")
     found = mapping.map_to_taxonomy(
-        _candidates(spark, folder), _lookup(spark, folder), _index(spark, folder)
+        stored(_candidates(spark, folder), path), _lookup(spark, folder), _index(spark, folder)
     )
     return sinks.format_skills(skills.rank_mappings(found))
 
@@ -414,8 +415,10 @@ def _flat(summary: DataFrame) -> DataFrame:
 
 
 def quality_report(spark, folder):
-    result = _structured(spark, folder)
-    return _flat(report.quality_report(result.jobs, result.skills, _cleaned(spark, folder)))
+    out = work_path(spark, f"report-{uuid.uuid4().hex}")
+    keyed = _prepared(spark, folder).withColumn(skills.ROW_KEY, F.col(ID))
+    result = plans.write_structured(keyed, _lookup(spark, folder), out, fmt="parquet")
+    return _flat(report.quality_report(result.jobs, result.skills, result.jobs, plans.LENGTH))
 
 
 def full_run(spark, folder):
