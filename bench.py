@@ -37,6 +37,8 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # start-up of the session is not a query's cost
+    spark.read.parquet(f"{folder}/region.parquet").write.format("noop").mode("overwrite").save()
     times = {}
     for name in sys.argv[1:] or HEADLINE:
         start = time.perf_counter()

@@ -51,9 +51,9 @@ def scan_postings(
     return sample.repartition(spark.sparkContext.defaultParallelism)  # a limit ends in one
 
 
-def posting_schema() -> T.StructType:
-    """All wanted columns as text: the schema of a raw posting stream."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in fixed.POSTING_COLUMNS])
+def posting_schema(columns: Sequence[str] = fixed.POSTING_COLUMNS) -> T.StructType:
+    """Columns of raw postings, all text."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
 def empty_postings(spark: SparkSession) -> DataFrame:

@@ -1,6 +1,6 @@
 """The same queries as DuckDB SQL over the whole tables.
 
-``bench`` and tests run them against the Spark results.  Patterns and word lists
+``compare.py`` and the tests run them against the Spark results.  Patterns and word lists
 are the fixed values; RE2 takes them with ``(?i)`` where Java takes ``(?iU)``.
 """
 
