@@ -10,7 +10,7 @@ that does not.  If the shares reach the target as they are, a is 1.
 Weights are realised as permutations under a budget of tokens (all tokens of
 the input unless given).  The quota of a source is floor(w * budget).  Each pass
 over a source is a permutation of its documents by hash.  Whole passes are taken
-while the quota lasts; of the last, partial pass the longest beginning that fits
+while the quota lasts (a source with a quota of 0 is left out); of the last, partial pass the longest beginning that fits
 the rest of the quota is taken.
 
 Cases: null and empty texts have no tokens and take nothing from a quota; a
@@ -132,8 +132,10 @@ def plan(
     weight = F.pow("share", F.lit(a)) / F.lit(z)
     quotas = shares.select(
         F.col("source").alias("q_source"), "share", "n_tokens",
-        weight.alias("weight"), F.floor(weight * F.lit(float(budget))).alias("quota"),
-    ).select(
+        weight.alias("weight"),
+        # a little more than nothing, so that sums in another order give the same whole number
+        F.floor(weight * F.lit(float(budget)) * F.lit(1 + 1e-12)).alias("quota"),
+    ).filter("quota > 0").select(
         "*", F.expr("quota div n_tokens").alias("passes"), F.expr("quota % n_tokens").alias("rest")
     )
     quotas = stage(quotas, "quotas")
