@@ -246,8 +246,9 @@ def sample(documents: DataFrame, labels: DataFrame, key: str, text: str, label:
     place = F.pmod(F.xxhash64(F.col("l_key").cast("string")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     thin = usable.filter(place < min(1.0, max_examples / max(n, 1)))
     # bounded by max_examples on average, so a broadcast whatever the corpus
-    return documents.join(F.broadcast(thin), F.col(key) == F.col("l_key")).select(
-        F.col(key).cast("string").alias("id"), F.col(text).alias("text"), "y"
+    source = documents.select(F.col(key).alias("d_key"), F.col(text).alias("text"))
+    return source.join(F.broadcast(thin), F.col("d_key") == F.col("l_key")).select(
+        F.col("d_key").cast("string").alias("id"), "text", "y"
     )
 
 
