@@ -300,6 +300,8 @@ def training_words(documents: DataFrame, key: str, text: str, lang: str,
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                    strict=True):
                 words, times = np.unique(split_words(value), return_counts=True)
+                if not len(words):
+                    continue
                 frames.append(pd.DataFrame({"lang": name, "word": words, "times": times}))
             if frames:
                 whole = pd.concat(frames).groupby(["lang", "word"], as_index=False)["times"].sum()
