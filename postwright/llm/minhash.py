@@ -19,8 +19,9 @@ components of the links.
 A list is not expanded into all its pairs.  First its members are paired with
 one hub per list and size band; confirmed links make components; a second time
 with other hubs; then only members of a list that are still in different
-components are paired with each other.  A link inside a component changes
-nothing, so the components are those of all links.
+components, and share enough of their sets with others there, are paired with
+each other.  A link inside a component changes nothing, so the components are
+those of all links.
 
 With similarity s the number of agreements is binomial (COORDINATES, s): at the
 least similarity, 0.75, fewer than 33 of 64 agree with probability 1e-5.
@@ -179,22 +180,67 @@ def hub_pairs(members: DataFrame, order: F.Column, apart: bool) -> DataFrame:
     ).distinct()
 
 
-def open_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): members of a list in different components, with sizes that fit."""
+def still_open(members: DataFrame) -> DataFrame:
+    """The members of lists that hold more than one component; staged."""
     mixed_lists = (
         members.groupBy("token")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low < high").select("token")
     )
-    left = stage(members.join(mixed_lists, "token"), "open")
+    return stage(members.join(mixed_lists, "token"), "open")
+
+
+def unique_shingles(texts: DataFrame) -> DataFrame:
+    """(node, alone): how many shingles of a class no other of these classes has."""
+    schema = T.StructType.fromDDL("node bigint, shingle bigint")
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        ids, target = WordIds(), to_arrow_schema(schema)
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                  strict=True):
+                found = shingles(text, ids).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(found), node)), pa.array(found)], schema=target
+                )
+
+    return (
+        texts.select("node", "text").mapInArrow(run, schema)
+        .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+        .filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    )
+
+
+def open_pairs(members: DataFrame, texts_of) -> DataFrame:
+    """(a, b): members of a list in different components that can still be linked.
+
+    Such a pair is among the members of lists of several components.  What two of
+    them share, neither has alone among all of them, so with s for the number of
+    its other shingles, s of both must reach SIMILARITY / (100 + SIMILARITY) of
+    their sizes together.  This leaves out most members of a group of looser
+    copies, which are alike without being linked.
+    """
+    opened = still_open(members)
+    nodes = opened.select("node", "size").distinct()
+    alone = unique_shingles(texts_of(nodes))
+    sized = nodes.join(alone, "node", "left").select(
+        "node", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared")
+    ).filter(100 * F.col("shared") >= SIMILARITY * F.col("size"))
+    rest = stage(sized, "shared")
+    left = still_open(opened.join(small_side(rest, 16), "node"))
     right = left.select(
         "token", F.col("node").alias("r_node"), F.col("size").alias("r_size"),
-        F.col("component").alias("r_component"),
+        F.col("component").alias("r_component"), F.col("shared").alias("r_shared"),
+    )
+    enough = (100 + SIMILARITY) * F.least("shared", "r_shared") >= SIMILARITY * (
+        F.col("size") + F.col("r_size")
     )
     return (
         left.join(right, "token")
         .filter((F.col("node") < F.col("r_node")) & (F.col("component") != F.col("r_component"))
-                & _fits("size", "r_size"))
+                & _fits("size", "r_size") & enough)
         .select(F.col("node").alias("a"), F.col("r_node").alias("b")).distinct()
     )
 
@@ -214,11 +260,10 @@ def agreeing(pairs: DataFrame, posted: DataFrame) -> DataFrame:
 
 
 def node_texts(documents: DataFrame, key: str, text: str, classes: DataFrame,
-               pairs: DataFrame) -> DataFrame:
-    """(node, text): a text for each class in the pairs, found by id and checked by its set."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+               nodes: DataFrame) -> DataFrame:
+    """(node, text): a text for each of the classes, found by id and checked by its set; staged."""
     wanted = stage(
-        classes.select("node", "first_id", "set_hash").join(nodes, "node"), "wanted"
+        classes.select("node", "first_id", "set_hash").join(nodes.select("node"), "node"), "wanted"
     ).withColumnRenamed("set_hash", "w_hash")
     found = documents.select(key, F.col(text).alias("_text")).join(
         small_side(wanted, 64), F.col(key).eqNullSafe(F.col("first_id"))
@@ -239,7 +284,7 @@ def node_texts(documents: DataFrame, key: str, text: str, classes: DataFrame,
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(2)], schema=target)
 
     # rows that repeat an id and a text give the same class twice
-    return stage(found.mapInArrow(run, schema), "texts").dropDuplicates(["node"])
+    return stage(found.mapInArrow(run, schema).dropDuplicates(["node"]), "texts")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -334,16 +379,21 @@ def links(documents: DataFrame, key: str, text: str, classes: DataFrame) -> Data
     edges = spark.createDataFrame([], "a bigint, b bigint")
     components = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     members = _with_components(posted, components)
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        return node_texts(documents, key, text, classes, nodes)
+
     rounds = (
         lambda m: hub_pairs(m, F.col("node"), False),
         lambda m: hub_pairs(m, F.xxhash64("token", "node"), True),
-        open_pairs,
+        lambda m: open_pairs(m, texts_of),
     )
     for pair in rounds:
         pairs = agreeing(pair(members), posted)
         if not pairs.limit(1).count():
             continue
-        fresh = confirmed(pairs, node_texts(documents, key, text, classes, pairs))
+        met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        fresh = confirmed(pairs, texts_of(met))
         edges = fresh if not edges.limit(1).count() else stage(edges.union(fresh), "edges")
         components = connected(edges)
         members = _with_components(posted, components)
