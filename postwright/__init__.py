@@ -19,14 +19,14 @@ from postwright.operators.skills import (
     map_postings,
 )
 from postwright.operators.taxonomy import clean_taxonomy, exact_lookup, taxonomy_stats
-from postwright.plans.structure import run, structure
+from postwright.plans.structure import Rules, run, structure
 from postwright.session import session
 from postwright.sinks.tables import write_report, write_table
 from postwright.sources.tables import scan_postings, scan_taxonomy, validate_inputs
 from postwright.streaming.incremental import running_totals, stream_postings, structure_stream
 
 __all__ = [
-    "attach_skill_count", "attach_summary", "attach_top_skills", "build_index", "build_lookup",
+    "Rules", "attach_skill_count", "attach_summary", "attach_top_skills", "build_index", "build_lookup",
     "clean_postings", "clean_taxonomy", "coverage", "description_stats", "drop_expired",
     "exact_lookup", "extract_fields", "map_postings", "map_to_taxonomy", "merge_salary",
     "prepare_postings", "quality_report", "run", "running_totals", "scan_postings",

@@ -64,17 +64,13 @@ NULL_TOKENS = [
 
 # ---------------------------------------------------------------- fixed values: thresholds
 
-MAX_TEXT_LENGTH = 20_000
 TAXONOMY_THRESHOLD = 0.60
 MIN_CONFIDENCE = 0.40
-MAX_SKILLS = 20
 MIN_PHRASE_LENGTH = 3
 MAX_PHRASE_TOKENS = 6
 MIN_TOKEN_LENGTH = 2
 MIN_COSINE = 0.01
-MAX_TERMS = 50_000
 MAX_TERM_WORDS = 3
-DESCRIPTION_PREFIX = 100
 
 # ---------------------------------------------------------------- fixed values: cleaning patterns
 

@@ -47,11 +47,3 @@ def index_terms(text: str) -> str:
     """Word 1- to 3-grams for the similarity index, duplicates kept."""
     words = f"regexp_extract_all(lower({text}), {quote(fixed.INDEX_WORD)}, 0)"
     return windows(words, range(1, fixed.MAX_TERM_WORDS + 1))
-
-
-def counted(items: str) -> str:
-    """Array of (item, n) with one entry per distinct item."""
-    count = "size(filter(xs, x -> x = t))"
-    return let(
-        items, "xs", f"transform(array_distinct(xs), t -> named_struct('item', t, 'n', {count}))"
-    )

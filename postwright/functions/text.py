@@ -155,14 +155,17 @@ TIDY_LAYOUT = (break_bullets, collapse_blanks, collapse_newlines, strip)
 
 
 def clean_description(
-    df: DataFrame, column: str, into: str, max_length: int = fixed.MAX_TEXT_LENGTH
+    df: DataFrame, column: str, into: str, max_length: int | None = None
 ) -> DataFrame:
     """Add the cleaned plain text of a column, never null.
 
-    Only the first ``max_length`` code points of the raw text are read.
+    The whole text is read, or its first ``max_length`` code points where that is given.
     """
     others = [c for c in df.columns if c != into]
-    cut = df.select(*others, F.expr(f"substring(coalesce({column}, ''), 1, {max_length})").alias(into))
+    raw = f"coalesce({column}, '')"
+    if max_length is not None:
+        raw = f"substring({raw}, 1, {max_length})"
+    cut = df.select(*others, F.expr(raw).alias(into))
     found = cut.withColumn("_rare", F.expr(_rare(into)))
     native = chain(found, into, (_decode_common, *STRIP_MARKUP, _normalise_common), into)
     whole = native.select(*others, F.coalesce(_decoder()("_rare"), into).alias(into))

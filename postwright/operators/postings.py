@@ -89,7 +89,7 @@ def union_sources(sources: list[DataFrame]) -> DataFrame:
 
 
 def clean_postings(
-    df: DataFrame, column: str = "description", max_length: int = fixed.MAX_TEXT_LENGTH
+    df: DataFrame, column: str = "description", max_length: int | None = None
 ) -> DataFrame:
     """Add ``description_clean``; empty where the source has no such column."""
     if column not in df.columns:
@@ -130,6 +130,6 @@ def merge_salary(df: DataFrame) -> DataFrame:
     ).withColumn("salary_final_unit", F.coalesce(*units))
 
 
-def structure_fields(df: DataFrame) -> DataFrame:
+def structure_fields(df: DataFrame, max_length: int | None = None) -> DataFrame:
     """Typed postings to cleaned text, extracted fields and merged salary; no shuffle."""
-    return merge_salary(extract_fields(clean_postings(df)))
+    return merge_salary(extract_fields(clean_postings(df, max_length=max_length)))

@@ -77,12 +77,13 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def measured(df: DataFrame, **facts: Column) -> Reference:
+def measured(df: DataFrame, persist: bool = True, **facts: Column) -> Reference:
     """Cache a reference table and measure it, and any further facts, with one aggregate.
 
-    The cache is only a saving: a lost block is recomputed from the lineage.
+    The cache is only a saving: a lost block is recomputed from the lineage.  A
+    table that is read from a file of its own needs none.
     """
-    df = df.persist()
+    df = df.persist() if persist else df
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"),
@@ -113,18 +114,13 @@ def probe(
     """Join a large table to a reference table with its size checked.
 
     Within the limit the reference is broadcast and the large side does not
-    move.  Beyond it both sides are shuffled on (key, salt): rows of a hot key
-    go to as many tasks as there are salts, and each reference row is repeated
-    once per salt.
+    move.  Beyond it both sides are shuffled on the key; only hot keys of the
+    large side, found by a sketch, are salted, and only their reference rows are
+    repeated.
     """
     if reference.fits(limit):
         return stream.join(F.broadcast(reference.table), on, how)
-    salts = _spread(stream)
-    salted = stream.withColumn("_salt", _scatter(salts, spread_by))
-    repeated = reference.table.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return salted.join(repeated, [on, "_salt"], how).drop("_salt")
+    return join_spread(stream, reference.table, on, spread_by, how)
 
 
 @dataclass(frozen=True)
@@ -164,7 +160,7 @@ def join_spread(
     Only the hot keys are salted: their left rows scatter over the salts and
     their right rows are repeated, while all other keys join as usual.  Left
     rows with a null key match nothing; where they are many they scatter too.
-    ``how`` is ``inner`` or ``left``.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     skew = find_skew(left, key) if skew is None else skew
     if not skew.keys and not skew.nulls:

@@ -8,6 +8,7 @@ neither a cross join nor the pairs of very common terms are ever formed.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ from postwright.operators.shaping import (
     probe,
 )
 from postwright.operators.taxonomy import best_per_skill
+from postwright.session import stored, work_path
 
 _COSINE_DIGITS = 9
 _SLACK = 1e-9
@@ -33,15 +35,20 @@ _SLACK = 1e-9
 
 @dataclass(frozen=True)
 class SimilarityIndex:
-    vocabulary: Reference  # term, df, idf; at most MAX_TERMS rows
+    vocabulary: Reference  # term, df, idf
     documents: Reference  # doc, taxonomy columns, weights: map term -> weight
     postings: Reference  # term, doc
 
 
-def corpus(taxonomy: DataFrame) -> DataFrame:
-    """One document per taxonomy skill: its name and the start of its description."""
+def corpus(taxonomy: DataFrame, prefix: int | None = None) -> DataFrame:
+    """One document per taxonomy skill: its name and its description.
+
+    With ``prefix``, only that many characters of the description.
+    """
     name = F.coalesce("taxonomy_skill", F.lit(""))
-    start = F.substring(F.coalesce("taxonomy_description", F.lit("")), 1, fixed.DESCRIPTION_PREFIX)
+    start = F.coalesce("taxonomy_description", F.lit(""))
+    if prefix is not None:
+        start = F.substring(start, 1, prefix)
     # "=" keeps a skill with an empty name apart from one without a name
     doc = F.coalesce(F.concat(F.lit("="), F.col("taxonomy_skill")), F.lit(""))
     return best_per_skill(taxonomy).select(
@@ -55,21 +62,19 @@ def corpus(taxonomy: DataFrame) -> DataFrame:
 
 
 def term_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf) rows of a table of short texts, without a shuffle."""
-    terms = F.expr(phrases.counted(phrases.index_terms(text)))
-    counts = texts.select(key, F.explode(terms).alias("_t"))
-    return counts.select(key, F.col("_t.item").alias("term"), F.col("_t.n").alias("tf"))
+    """(key, term, tf) rows; terms are counted map-side, then per key."""
+    terms = texts.select(key, F.explode(F.expr(phrases.index_terms(text))).alias("term"))
+    return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(counts: DataFrame, documents: int, max_terms: int = fixed.MAX_TERMS) -> DataFrame:
-    """The most frequent terms with document frequency and smoothed idf."""
-    return (
-        counts.groupBy("term")
-        .agg(F.sum("tf").alias("frequency"), F.count(F.lit(1)).alias("df"))
-        .orderBy(F.col("frequency").desc(), F.col("term").asc())
-        .limit(max_terms)
-        .withColumn("idf", F.log((1.0 + documents) / (1.0 + F.col("df"))) + 1.0)
+def vocabulary(counts: DataFrame, documents: int, max_terms: int | None = None) -> DataFrame:
+    """All terms, or the ``max_terms`` most frequent, with document frequency and smoothed idf."""
+    terms = counts.groupBy("term").agg(
+        F.sum("tf").alias("frequency"), F.count(F.lit(1)).alias("df")
     )
+    if max_terms is not None:
+        terms = terms.orderBy(F.col("frequency").desc(), F.col("term").asc()).limit(max_terms)
+    return terms.withColumn("idf", F.log((1.0 + documents) / (1.0 + F.col("df"))) + 1.0)
 
 
 def _vectors(
@@ -87,22 +92,37 @@ def _vectors(
     return gathered.select(key, F.expr(let(norm, "norm", scaled)).alias("vector"))
 
 
-def build_index(taxonomy: DataFrame, max_terms: int = fixed.MAX_TERMS) -> SimilarityIndex:
-    """Fit the index once; every posting batch reuses it."""
-    docs = measured(corpus(taxonomy))
-    counts = term_counts(docs.table, "doc", "text")
-    terms = measured(vocabulary(counts, docs.rows, max_terms))
+def build_index(
+    taxonomy: DataFrame,
+    max_terms: int | None = None,
+    prefix: int | None = None,
+    path: str | None = None,
+) -> SimilarityIndex:
+    """Fit the index once; every posting batch reuses it.
+
+    Its tables are written under ``path`` (a folder of its own in the work folder
+    unless given) and read back, so no plan that uses them repeats the fit.
+    """
+    path = path or work_path(taxonomy.sparkSession, f"index-{uuid.uuid4().hex}")
+
+    def kept(df: DataFrame, name: str, **facts: F.Column) -> Reference:
+        return measured(stored(df, f"{path}/{name}"), persist=False, **facts)
+
+    docs = kept(corpus(taxonomy, prefix), "corpus")
+    counts = stored(term_counts(docs.table, "doc", "text"), f"{path}/counts")
+    terms = kept(vocabulary(counts, docs.rows, max_terms), "vocabulary")
     as_map = F.map_from_entries(
         F.transform("vector", lambda x: F.struct(x["term"], x["weight"]))
     )
     vectors = _vectors(counts, terms, "doc").select("doc", as_map.alias("weights"))
-    documents = measured(
+    documents = kept(
         docs.table.drop("text").join(vectors, "doc"),
+        "documents",
         best=F.max("correlation"),
         terms=F.coalesce(F.sum(F.size("weights")), F.lit(0)),
     )
-    postings = measured(
-        documents.table.select(F.explode(F.map_keys("weights")).alias("term"), "doc")
+    postings = kept(
+        documents.table.select(F.explode(F.map_keys("weights")).alias("term"), "doc"), "postings"
     )
     return SimilarityIndex(terms, documents, postings)
 
@@ -204,12 +224,15 @@ def similarity_matches(
     """Similarity mappings of every candidate row.
 
     Each distinct phrase is compared once.  The distinct phrases are counted and
-    cached first; the few that fill much of the candidates (at most
+    stored first; the few that fill much of the candidates (at most
     1 / HOT_SHARE) are known by then and are spread over several tasks when the
     result goes back to the rows that hold them.
     """
+    path = work_path(candidates.sparkSession, f"phrases-{uuid.uuid4().hex}")
     counts = measured(
-        candidates.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")), total=F.sum("n")
+        stored(candidates.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")), path),
+        persist=False,
+        total=F.sum("n"),
     )
     least = max(2.0, HOT_SHARE * (counts.facts["total"] or 0))
     hot = [r["phrase"] for r in counts.table.filter(F.col("n") >= least).collect()]

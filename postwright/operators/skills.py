@@ -23,14 +23,17 @@ from postwright.operators.taxonomy import exact_lookup
 ID = "system_job_id"
 
 
-def build_lookup(taxonomy: DataFrame) -> Reference:
+def build_lookup(taxonomy: DataFrame, max_words: int | None = None) -> Reference:
     """Best row per raw skill, cached and measured once for all postings.
 
-    The fact ``sizes`` lists the phrase lengths, in words, that a window can match.
+    The fact ``sizes`` lists the phrase lengths, in words, that a window can
+    match: all that occur, or those up to ``max_words``.
     """
     table = exact_lookup(taxonomy).withColumnRenamed("raw_skill", "phrase")
     words = F.size(F.split("phrase", " "))
-    usable = (F.length("phrase") >= fixed.MIN_PHRASE_LENGTH) & (words <= fixed.MAX_PHRASE_TOKENS)
+    usable = F.length("phrase") >= fixed.MIN_PHRASE_LENGTH
+    if max_words is not None:
+        usable = usable & (words <= max_words)
     return measured(table, sizes=F.array_sort(F.collect_set(F.when(usable, words))))
 
 
@@ -137,18 +140,20 @@ def one_per_taxonomy_skill(mapped: DataFrame, key: str = ROW_KEY) -> DataFrame:
 
 
 def top_skills_per_posting(
-    mapped: DataFrame, max_skills: int = fixed.MAX_SKILLS, key: str = ROW_KEY
+    mapped: DataFrame, max_skills: int | None = None, key: str = ROW_KEY
 ) -> DataFrame:
-    """The ``max_skills`` most confident mappings per posting."""
+    """The ``max_skills`` most confident mappings per posting; all of them unless given."""
+    if max_skills is None:
+        return mapped
     confidence, *ties = _best_order()
     order = [confidence, F.col("taxonomy_skill").asc_nulls_last(), *ties]
     return first_per(mapped, [key], order, max_skills)
 
 
 def rank_mappings(
-    mapped: DataFrame, max_skills: int = fixed.MAX_SKILLS, key: str = ROW_KEY
+    mapped: DataFrame, max_skills: int | None = None, key: str = ROW_KEY
 ) -> DataFrame:
-    """One row per posting and taxonomy skill, then the best ``max_skills`` of them."""
+    """One row per posting and taxonomy skill, or the best ``max_skills`` of these."""
     return top_skills_per_posting(one_per_taxonomy_skill(mapped, key), max_skills, key)
 
 
@@ -156,7 +161,7 @@ def map_postings(
     postings: DataFrame,
     lookup: Reference,
     min_confidence: float = fixed.MIN_CONFIDENCE,
-    max_skills: int = fixed.MAX_SKILLS,
+    max_skills: int | None = None,
     text: str = "description_clean",
     id_col: str = ID,
     limit: int | None = None,

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,24 +18,23 @@ def session(app: str = "postwright", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="postwright-")
-
-
 def work_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may do without that setting; it gets a temporary folder.
+    Where that is not set, a folder in the warehouse, which all executors share too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder()
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/postwright-work"
     return f"{base.rstrip('/')}/{name}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate tables through the file system that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a table once and go on from the file: what follows no longer depends on the past."""
     df.write.mode("overwrite").parquet(path)

@@ -52,10 +52,10 @@ def format_skills(skills: DataFrame) -> DataFrame:
     return round_doubles(named)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Replace the table at ``path``; CSV always carries a header."""
+def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
+    """Replace the table at ``path``, or add to it; CSV always carries a header."""
     options = CSV_OPTIONS if fmt == "csv" else {}
-    df.write.mode("overwrite").format(fmt).options(**options).save(path)
+    df.write.mode(mode).format(fmt).options(**options).save(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,40 @@ from postwright.operators.shaping import fill_cores
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files of a path grouped by their first line.
+
+    Spark takes the columns of all files from the first one's heading, so files
+    with other headings are read on their own.  One pass keeps the first line of
+    each file; the driver gets the file names that a scan lists anyway.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    first = (
+        lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("heading"))
+    )
+    files = first.groupBy("heading").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return [row["files"] for row in files.orderBy("heading").collect()]
+
+
+def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    # A file with line breaks inside fields cannot be split: one task per
+    # file.  Large inputs should come as many files, or as Parquet.
+    # enforceSchema: a heading other than the first file's is an error, not a mix-up.
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, enforceSchema=False)
+    groups = _files_by_header(spark, path)
+    if len(groups) < 2:
+        return reader.csv(path)
+    return postings.union_sources([reader.csv(files) for files in groups])
+
+
 def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool) -> DataFrame:
     if fmt == "csv":
-        # A file with line breaks inside fields cannot be split: one task per
-        # file.  Large inputs should come as many files, or as Parquet.
-        return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
+        return _read_csv(spark, path, multi_line)
     raw = spark.read.format(fmt).load(path)
     return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
 
@@ -102,8 +132,14 @@ def _input_status(spark: SparkSession, name: str, path: str) -> DataFrame:
     )
 
 
-def validate_inputs(spark: SparkSession, jobs_path: str, taxonomy_path: str) -> DataFrame:
-    """One row per input: OK with its size in MB, or MISSING with a message."""
-    return _input_status(spark, "jobs", jobs_path).unionByName(
-        _input_status(spark, "taxonomy", taxonomy_path)
-    )
+def validate_inputs(
+    spark: SparkSession, jobs_path: str | Sequence[str], taxonomy_path: str
+) -> DataFrame:
+    """One row per input: OK with its size in MB, or MISSING with a message.
+
+    Of several job paths the first is called ``jobs``, the others ``jobs 2`` and so on.
+    """
+    paths = [jobs_path] if isinstance(jobs_path, str) else list(jobs_path)
+    named = [("jobs" if k == 1 else f"jobs {k}", p) for k, p in enumerate(paths, 1)]
+    status = [_input_status(spark, n, p) for n, p in [*named, ("taxonomy", taxonomy_path)]]
+    return reduce(DataFrame.unionByName, status)

@@ -50,8 +50,10 @@ def test_golden(spark):
 
 
 def test_truncates_before_decoding(spark):
-    long = "a" * (fixed.MAX_TEXT_LENGTH - 4) + "&amp;tail"
-    assert cleaned(spark, [long]) == ["a" * (fixed.MAX_TEXT_LENGTH - 4) + "&amp"[:4].replace("&amp", "&")]
+    long = "a" * 30_000 + "&amp;tail"
+    assert cleaned(spark, [long]) == ["a" * 30_000 + "&tail"]
+    df = text.clean_description(spark.createDataFrame([(long,)], "t string"), "t", "c", 30_004)
+    assert df.first()["c"] == "a" * 30_000 + "&"
 
 
 def by_library(value):

@@ -219,3 +219,58 @@ def test_stream_equals_batch_and_replays(spark, tmp_path):
     incremental.structure_stream(raw, lookup, out, checkpoint + "-2").awaitTermination()
     assert spark.read.parquet(out + "/structured_jobs").count() == 5
     assert tuple(incremental.running_totals(spark, out).first()) == (5, 10)
+
+
+def test_folder_of_files_with_other_headers(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("system_job_id,title,description\n1,nurse,x\n")
+    (folder / "b.csv").write_text("title,system_job_id\ncook,2\n")
+    (folder / "c.csv").write_text("title,system_job_id\nbaker,3\n")
+    rows = scan_postings(spark, str(folder)).collect()
+    assert sorted((r.system_job_id, r.title, r.description) for r in rows) == [
+        ("1", "nurse", "x"), ("2", "cook", None), ("3", "baker", None),
+    ]
+    stream = incremental.stream_postings(
+        spark, str(folder), 1, ["system_job_id", "title", "description"]
+    )
+    query = stream.writeStream.format("memory").queryName("headings").trigger(availableNow=True)
+    with pytest.raises(Exception):
+        query.start().awaitTermination()
+
+
+def test_every_input_is_validated(spark, tmp_path):
+    (tmp_path / "j.csv").write_text(posting_csv([1]))
+    (tmp_path / "tax.csv").write_text(TAXONOMY_CSV)
+    with pytest.raises(FileNotFoundError, match="jobs 2"):
+        run(spark, [str(tmp_path / "j.csv"), str(tmp_path / "gone.csv")],
+            str(tmp_path / "tax.csv"), str(tmp_path / "out"))
+
+
+def test_sample_is_drawn_once(spark, tmp_path):
+    from postwright import build_lookup, structure
+
+    (tmp_path / "jobs.csv").write_text(posting_csv(range(200)))
+    (tmp_path / "tax.csv").write_text(TAXONOMY_CSV)
+    lookup = build_lookup(scan_taxonomy(spark, str(tmp_path / "tax.csv"), 0.4))
+    sampled = scan_postings(spark, str(tmp_path / "jobs.csv"), sample_size=20)
+    both = structure(sampled, lookup)
+    jobs = {r.system_job_id for r in both.jobs.collect()}
+    assert len(jobs) == 20
+    assert {r.system_job_id for r in both.skills.collect()} == jobs
+
+
+def test_nothing_is_cut_by_default(spark, tmp_path):
+    from postwright import Rules, build_lookup, structure
+
+    names = [f"craft{chr(97 + k)}" for k in range(26)]
+    long = "alpha bravo charlie delta echo foxtrot golf hotel"
+    lines = [f"r,{n},tax {n},about,esco,0.9" for n in [*names, long]]
+    (tmp_path / "tax.csv").write_text(",".join(fixed.TAXONOMY_COLUMNS) + "\n" + "\n".join(lines))
+    text = "word " * 6000 + " ".join(names) + " " + long
+    (tmp_path / "jobs.csv").write_text(f"system_job_id,description\n1,{text}\n")
+    lookup = build_lookup(scan_taxonomy(spark, str(tmp_path / "tax.csv"), 0.4))
+    prepared = scan_postings(spark, str(tmp_path / "jobs.csv"))
+    assert structure(prepared, lookup).skills.count() == 27
+    assert structure(prepared, lookup, Rules(max_skills=5)).skills.count() == 5
+    assert structure(prepared, lookup, Rules(max_length=1000)).skills.count() == 0

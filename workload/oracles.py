@@ -103,7 +103,7 @@ def markup_stripped(text: str) -> str:
 
 def cleaned(text: str) -> str:
     """Whole cleaning, for tables whose entities are those listed and whose text is NFKC."""
-    text = f"substring(coalesce({text}, ''), 1, {fixed.MAX_TEXT_LENGTH})"
+    text = f"coalesce({text}, '')"
     for entity, character in ENTITIES:
         text = f"replace({text}, {q(entity)}, {q(character)})"
     return tidied(masked(markup_stripped(text)))
@@ -224,9 +224,8 @@ LOOKUP = "lookup AS ({})".format(
 DOCS = "best_skill AS ({}), docs AS ({})".format(
     best("tax", ["taxonomy_skill"],
          ["research_id", "raw_skill", "taxonomy_description", "taxonomy_source"]),
-    f"""SELECT taxonomy_skill, taxonomy_description, taxonomy_source, correlation,
-  coalesce(taxonomy_skill, '') || ' ' ||
-  substring(coalesce(taxonomy_description, ''), 1, {fixed.DESCRIPTION_PREFIX}) AS text
+    """SELECT taxonomy_skill, taxonomy_description, taxonomy_source, correlation,
+  coalesce(taxonomy_skill, '') || ' ' || coalesce(taxonomy_description, '') AS text
   FROM best_skill""",
 )
 
@@ -274,16 +273,17 @@ def exact(source: str) -> str:
   FROM {source} JOIN lookup ON phrase = raw_skill WHERE correlation >= {fixed.MIN_CONFIDENCE}"""
 
 
-def ranked(source: str, limit: int) -> str:
+def ranked(source: str, limit: int | None = None) -> str:
+    within = "" if limit is None else f"<= {limit}"
     return f"""dedup AS (SELECT * FROM {source} QUALIFY row_number() OVER (
   PARTITION BY system_job_id, taxonomy_skill
   ORDER BY confidence DESC, match_method, raw_skill) = 1),
 long AS (SELECT * FROM dedup QUALIFY row_number() OVER (PARTITION BY system_job_id
-  ORDER BY confidence DESC, taxonomy_skill NULLS LAST, match_method, raw_skill) <= {limit})"""
+  ORDER BY confidence DESC, taxonomy_skill NULLS LAST, match_method, raw_skill) {within or '> 0'})"""
 
 
 BASE = f"{POSTINGS}, {TAX}, {LOOKUP}, {SCAN}, mapped AS ({exact('scan')})"
-LONG = f"{BASE}, {ranked('mapped', fixed.MAX_SKILLS)}"
+LONG = f"{BASE}, {ranked('mapped')}"
 SUMMARY = """ordered AS (SELECT system_job_id, taxonomy_skill, row_number() OVER (
     PARTITION BY system_job_id ORDER BY confidence DESC, taxonomy_skill) AS place FROM long),
 summary AS (SELECT l.system_job_id, CAST(count(*) AS BIGINT) AS skill_count,
@@ -292,11 +292,11 @@ summary AS (SELECT l.system_job_id, CAST(count(*) AS BIGINT) AS skill_count,
   FROM long l GROUP BY l.system_job_id)"""
 SKILL_COLUMNS = ", ".join(fixed.SKILL_OUTPUT_COLUMNS)
 
-WHOLE = f"""{MERGED}, {TAX}, {LOOKUP}, {SCAN}, mapped AS ({exact('scan')}),
-{ranked('mapped', fixed.MAX_SKILLS)}, {SUMMARY},
-jobs AS (SELECT m.*, coalesce(skill_count, 0) AS skill_count,
+JOINED = """jobs AS (SELECT m.*, coalesce(skill_count, 0) AS skill_count,
   coalesce(top_3_skills, '') AS top_3_skills
   FROM merged m LEFT JOIN summary USING (system_job_id))"""
+WHOLE = f"""{MERGED}, {TAX}, {LOOKUP}, {SCAN}, mapped AS ({exact('scan')}),
+{ranked('mapped')}, {SUMMARY}, {JOINED}"""
 
 
 def yes_no(name: str) -> str:
@@ -327,10 +327,11 @@ def term_ctes(name: str, source: str, key: str, text: str) -> str:
   FROM {name}_spans GROUP BY ALL)"""
 
 
-def vocab(limit: int) -> str:
+def vocab(limit: int | None = None) -> str:
+    top = "" if limit is None else f"ORDER BY frequency DESC, term LIMIT {limit}"
     return f"""vocab AS (SELECT term, CAST(sum(tf) AS BIGINT) AS frequency, count(*) AS df,
   ln((1.0 + (SELECT count(*) FROM docs)) / (1.0 + count(*))) + 1.0 AS idf
-  FROM doc_counts GROUP BY term ORDER BY frequency DESC, term LIMIT {limit})"""
+  FROM doc_counts GROUP BY term {top})"""
 
 
 def vector_ctes(name: str, key: str) -> str:
@@ -342,7 +343,7 @@ def vector_ctes(name: str, key: str) -> str:
 
 
 DOC_TERMS = f"{TAX}, {DOCS}, {term_ctes('doc', 'docs', 'taxonomy_skill', 'text')}"
-INDEX = f"{DOC_TERMS}, {vocab(fixed.MAX_TERMS)}, {vector_ctes('doc', 'taxonomy_skill')}"
+INDEX = f"{DOC_TERMS}, {vocab()}, {vector_ctes('doc', 'taxonomy_skill')}"
 
 
 def similar(source: str, min_confidence: float, top_k: int) -> str:
@@ -376,7 +377,20 @@ COVERAGE = f"""SELECT {share('salary_final_min IS NOT NULL')} AS salary_coverage
   {share('skill_count > 0')} AS jobs_with_skills_pct FROM jobs"""
 TOP = """SELECT taxonomy_skill, count(*) AS job_count FROM long GROUP BY taxonomy_skill
   ORDER BY job_count DESC, taxonomy_skill LIMIT 20"""
-REPORT = f"""WITH {WHOLE}, cover AS ({COVERAGE}), top20 AS ({TOP}),
+SIMILAR_TOO = (
+    f"{INDEX}, {LOOKUP}, {SCAN}, {EXTRA}, "
+    "residual AS (SELECT * FROM candidates WHERE phrase NOT IN (SELECT raw_skill FROM lookup)), "
+    "residual_phrases AS (SELECT DISTINCT phrase FROM residual), "
+    f"{similar('residual_phrases', fixed.MIN_CONFIDENCE, 1)}, "
+    f"mapped AS ({exact('candidates')} UNION ALL SELECT system_job_id, raw_skill, "
+    "taxonomy_skill, taxonomy_description, taxonomy_source, confidence, match_method "
+    "FROM residual JOIN similar_rows ON phrase = raw_skill)"
+)
+WHOLE_EXTRA = f"""{MERGED}, {SIMILAR_TOO}, {ranked('mapped')}, {SUMMARY}, {JOINED}"""
+
+
+def report(whole: str) -> str:
+    return f"""WITH {whole}, cover AS ({COVERAGE}), top20 AS ({TOP}),
 texts AS (SELECT {stats('length(text)')} FROM clean)
 SELECT "count" AS total_rows, empty AS total_empty_descriptions,
   mean_length AS avg_mean_length_chars,
@@ -387,6 +401,9 @@ SELECT "count" AS total_rows, empty AS total_empty_descriptions,
   (SELECT count(*) FROM top20) AS top_listed
 FROM texts, cover"""
 
+
+REPORT, REPORT_EXTRA = report(WHOLE), report(WHOLE_EXTRA)
+
 SCANNED = f"WITH {RAW}, {NULLED}, {TYPED} SELECT * FROM typed"
 CLEAN_TAXONOMY = f"WITH {TAX} SELECT * FROM tax"
 
@@ -465,7 +482,7 @@ ORACLES = {
     "structured_skills": f"WITH {LONG} SELECT {SKILL_COLUMNS} FROM long",
     "structured_jobs": f"WITH {WHOLE} {JOBS}",
     "tfidf_corpus": f"WITH {TAX}, {DOCS} SELECT taxonomy_skill, correlation, text FROM docs",
-    "tfidf_vocab": f"WITH {DOC_TERMS}, {vocab(fixed.MAX_TERMS)} SELECT term, frequency, df, "
+    "tfidf_vocab": f"WITH {DOC_TERMS}, {vocab()} SELECT term, frequency, df, "
     f"{rounded('idf', 6)} FROM vocab",
     "tfidf_vocab_capped": f"WITH {DOC_TERMS}, {vocab(50)} SELECT term, frequency, df FROM vocab",
     "tfidf_index": f"WITH {INDEX} SELECT taxonomy_skill, term, {rounded('weight', 6)} "
@@ -474,18 +491,12 @@ ORACLES = {
     f"{similar('distinct_phrases', fixed.MIN_CONFIDENCE, 1)} SELECT * FROM similar_rows",
     "skill_tfidf_top3": f"WITH {POSTINGS}, {INDEX}, {ALL_PHRASES}, "
     f"{similar('distinct_phrases', 0.2, 3)} SELECT * FROM similar_rows",
-    "map_to_taxonomy": f"WITH {POSTINGS}, {INDEX}, {LOOKUP}, {SCAN}, {EXTRA}, "
-    "residual AS (SELECT * FROM candidates WHERE phrase NOT IN (SELECT raw_skill FROM lookup)), "
-    "residual_phrases AS (SELECT DISTINCT phrase FROM residual), "
-    f"{similar('residual_phrases', fixed.MIN_CONFIDENCE, 1)}, "
-    f"mapped AS ({exact('candidates')} UNION ALL SELECT system_job_id, raw_skill, "
-    "taxonomy_skill, taxonomy_description, taxonomy_source, confidence, match_method "
-    "FROM residual JOIN similar_rows ON phrase = raw_skill), "
-    f"{ranked('mapped', fixed.MAX_SKILLS)} SELECT {SKILL_COLUMNS} FROM long",
+    "map_to_taxonomy": f"WITH {POSTINGS}, {SIMILAR_TOO}, {ranked('mapped')} "
+    f"SELECT {SKILL_COLUMNS} FROM long",
     "coverage": f"WITH {WHOLE} {COVERAGE}",
     "top_skills": f"WITH {LONG} {TOP}",
     "quality_report": REPORT,
-    "full_run": REPORT,
+    "full_run": REPORT_EXTRA,
     "stream_structured_jobs": f"WITH {WHOLE} {JOBS}",
     "stream_structured_skills": f"WITH {LONG} SELECT {SKILL_COLUMNS} FROM long",
     "stream_totals": f"WITH {LONG} SELECT (SELECT count(*) FROM typed) AS jobs, "

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postwright import fixed
 from postwright.functions import coerce, phrases, text
+from postwright.functions.sql import let
 from postwright.operators import mapping, postings, report, similarity, skills, taxonomy
 from postwright.operators.shaping import Reference
 from postwright.plans import structure as plans
@@ -56,7 +57,10 @@ def _scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mapped(spark: SparkSession, folder: str) -> DataFrame:
-    return skills.exact_matches(_scan(spark, folder), _lookup(spark, folder))
+    lookup = _lookup(spark, folder)
+    return skills.exact_matches(
+        skills.vocabulary_scan(_cleaned(spark, folder), lookup), lookup
+    )
 
 
 def _long(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,9 +74,9 @@ def _title_phrases(df: DataFrame) -> DataFrame:
     return df.select(skills.ROW_KEY, ID, F.explode(found).alias("phrase"))
 
 
-def _candidates(spark: SparkSession, folder: str) -> DataFrame:
+def _candidates(spark: SparkSession, folder: str, lookup: Reference | None = None) -> DataFrame:
     keyed = _cleaned(spark, folder)
-    scan = skills.vocabulary_scan(keyed, _lookup(spark, folder))
+    scan = skills.vocabulary_scan(keyed, lookup or _lookup(spark, folder))
     return skills.union_candidates(scan, _title_phrases(keyed))
 
 
@@ -96,9 +100,12 @@ def scan_postings(spark, folder):
 
 
 def scan_postings_csv(spark, folder):
-    """The raw postings written as CSV and scanned back."""
+    """The raw postings written as CSV, one half with its columns in another order, and scanned back."""
     path = work_path(spark, f"csv-{uuid.uuid4().hex}")
-    sinks.write_table(views.postings(spark, folder), path)
+    raw = views.postings(spark, folder)
+    even = F.col(ID).cast("long") % 2 == 0
+    sinks.write_table(raw.filter(even), path)
+    sinks.write_table(raw.filter(~even).select(*reversed(raw.columns)), path, mode="append")
     return _epochs(sources.scan_postings(spark, path)).drop(skills.ROW_KEY)
 
 
@@ -168,10 +175,6 @@ def float_rounding(spark, folder):
     return sinks.round_doubles(third)
 
 
-def validate_inputs(spark, folder):
-    return sources.validate_inputs(spark, f"{folder}/orders.parquet", f"{folder}/part.parquet")
-
-
 # ------------------------------------------------------------------ cleaning
 
 
@@ -287,14 +290,16 @@ def skill_tokens(spark, folder):
 
 
 def skill_ngrams(spark, folder):
-    documents = views.table(spark, folder, "documents")
-    found = skills.exploded_phrases(documents, ["doc_id"], text="text")
-    return found.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_phrases"),
-        F.sum(F.length("phrase")).alias("n_chars"),
-        F.min("phrase").alias("first_phrase"),
-        F.max("phrase").alias("last_phrase"),
+    """Counts and extremes of each document's phrases, taken from its array."""
+    found = phrases.skill_phrases(phrases.skill_tokens("text"))
+    summed = "aggregate(ps, 0L, (n, p) -> n + length(p))"
+    facts = (
+        "named_struct('n_phrases', CAST(size(ps) AS BIGINT), "
+        f"'n_chars', {summed}, 'first_phrase', array_min(ps), 'last_phrase', array_max(ps))"
     )
+    documents = views.table(spark, folder, "documents")
+    rows = documents.select("doc_id", F.expr(let(found, "ps", facts)).alias("f"))
+    return rows.select("doc_id", "f.*").filter("n_phrases > 0")
 
 
 def skill_vocab_scan(spark, folder):
@@ -311,7 +316,8 @@ def skill_exact_match(spark, folder):
 
 def skill_residual(spark, folder):
     lookup = _lookup(spark, folder)
-    return skills.residual_candidates(_candidates(spark, folder), lookup).select(ID, "phrase")
+    found = _candidates(spark, folder, lookup)
+    return skills.residual_candidates(found, lookup).select(ID, "phrase")
 
 
 def skill_map_dedup(spark, folder):
@@ -386,8 +392,9 @@ def skill_tfidf_top3(spark, folder):
 
 def map_to_taxonomy(spark, folder):
     path = work_path(spark, f"candidates-{uuid.uuid4().hex}")
+    lookup = _lookup(spark, folder)
     found = mapping.map_to_taxonomy(
-        stored(_candidates(spark, folder), path), _lookup(spark, folder), _index(spark, folder)
+        stored(_candidates(spark, folder, lookup), path), lookup, _index(spark, folder)
     )
     return sinks.format_skills(skills.rank_mappings(found))
 
@@ -422,24 +429,26 @@ def quality_report(spark, folder):
 
 
 def full_run(spark, folder):
-    """CSV files in, the three outputs written, the report read back."""
+    """CSV files in, title phrases as further candidates, three outputs written, the report read back."""
     base = work_path(spark, f"run-{uuid.uuid4().hex}")
     headings = {name: source for source, name in fixed.TAXONOMY_COLUMNS.items()}
     sinks.write_table(views.postings(spark, folder), f"{base}/in/postings")
     sinks.write_table(
         views.taxonomy(spark, folder).withColumnsRenamed(headings), f"{base}/in/taxonomy"
     )
-    summary = plans.run(spark, f"{base}/in/postings", f"{base}/in/taxonomy", f"{base}/out")
-    stored = spark.read.schema(summary.schema).json(f"{base}/out/quality_report", multiLine=True)
-    return _flat(stored)
+    return _flat(plans.run(
+        spark, f"{base}/in/postings", f"{base}/in/taxonomy", f"{base}/out", extra=_title_phrases
+    ))
 
 
 def _streamed(spark, folder):
-    """The postings as a stream of the stored table, structured batch by batch."""
+    """The postings as a stream of files, one batch per file, structured batch by batch."""
     base = work_path(spark, f"stream-{uuid.uuid4().hex}")
-    schema = spark.read.parquet(f"{folder}/orders.parquet").schema
+    stored_orders = spark.read.parquet(f"{folder}/orders.parquet")
+    stored_orders.repartitionByRange(3, "o_orderkey").write.parquet(f"{base}/in")
     orders = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(folder)
+        spark.readStream.schema(stored_orders.schema).option("maxFilesPerTrigger", 1)
+        .parquet(f"{base}/in")
     )
     raw = views.postings_from(orders, views.table(spark, folder, "part"))
     query = incremental.structure_stream(
@@ -465,7 +474,6 @@ def stream_totals(spark, folder):
 ALL = [
     scan_postings, scan_postings_csv, scan_taxonomy_csv, active_only, tri_bool, numeric_coerce,
     timestamp_coerce, null_tokens, sample_limit, union_sources, bool_render, float_rounding,
-    validate_inputs,
     mask_pii, strip_html, tidy_layout, clean_text, clean_documents, clean_conversations,
     description_stats,
     extract_salary, extract_education, extract_experience, employment_flags, remote_flag,

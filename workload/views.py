@@ -35,7 +35,7 @@ SELECT
     CASE o_orderkey % 13 WHEN 0 THEN 'Tuition benefit, relocation package, sign-on bonus. ' WHEN 1 THEN 'Tuition reimbursement, signing bonus, telecommuting. ' ELSE '' END,
     'Call (303) 555-', CAST(1000 + o_orderkey % 9000 AS STRING), ' or see https://x.example/', CAST(o_orderkey AS STRING)
   ) AS description
-FROM orders JOIN part ON p_partkey = o_orderkey % 200
+FROM orders JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)
 """
 
 TAXONOMY = """
@@ -55,7 +55,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def postings_from(orders: DataFrame, part: DataFrame) -> DataFrame:
+    parts = part.count()  # the keys run from 0 to this
     sql = POSTINGS.replace("FROM orders JOIN part", "FROM {orders} JOIN {part}")
+    sql = sql.replace("(SELECT count(*) FROM part)", str(parts))
     return orders.sparkSession.sql(sql, orders=orders, part=part)
 
 
