@@ -23,12 +23,17 @@ from postwright.plans.structure import Rules, run, structure
 from postwright.session import session
 from postwright.sinks.tables import write_report, write_table
 from postwright.sources.tables import scan_postings, scan_taxonomy, validate_inputs
-from postwright.streaming.incremental import running_totals, stream_postings, structure_stream
+from postwright.streaming.incremental import (
+    merged,
+    running_totals,
+    stream_postings,
+    structure_stream,
+)
 
 __all__ = [
     "Rules", "attach_skill_count", "attach_summary", "attach_top_skills", "build_index", "build_lookup",
     "clean_postings", "clean_taxonomy", "coverage", "description_stats", "drop_expired",
-    "exact_lookup", "extract_fields", "map_postings", "map_to_taxonomy", "merge_salary",
+    "exact_lookup", "extract_fields", "map_postings", "map_to_taxonomy", "merge_salary", "merged",
     "prepare_postings", "quality_report", "run", "running_totals", "scan_postings",
     "scan_taxonomy", "session", "similar_skills", "similarity_matches", "stream_postings",
     "structure", "structure_stream", "taxonomy_stats", "top_skills", "union_sources",

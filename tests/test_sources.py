@@ -274,3 +274,28 @@ def test_nothing_is_cut_by_default(spark, tmp_path):
     assert structure(prepared, lookup).skills.count() == 27
     assert structure(prepared, lookup, Rules(max_skills=5)).skills.count() == 5
     assert structure(prepared, lookup, Rules(max_length=1000)).skills.count() == 0
+
+
+def test_a_posting_sent_again_replaces_the_earlier_one(spark, tmp_path):
+    from postwright import build_lookup, merged
+
+    (tmp_path / "tax.csv").write_text(TAXONOMY_CSV)
+    lookup = build_lookup(scan_taxonomy(spark, str(tmp_path / "tax.csv"), 0.4))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+    heading = ",".join(HEADINGS) + "\n"
+    first = "1,x,one,Python\n2,x,two,Python\n,x,none,Python\n"
+    second = "2,x,again,data analysis\n2,x,again,data analysis and Python\n,x,none,no skill\n"
+    for name, rows in (("a.csv", first), ("b.csv", second)):
+        (folder / name).write_text(heading + rows)
+        raw = incremental.stream_postings(spark, str(folder), 1, HEADINGS)
+        incremental.structure_stream(raw, lookup, out, checkpoint).awaitTermination()
+    both = merged(spark, out)
+    jobs = sorted((r.system_job_id or "", r.title, r.skill_count) for r in both.jobs.collect())
+    assert jobs == [("", "none", 0), ("", "none", 0), ("1", "one", 1), ("2", "again", 3),
+                    ("2", "again", 3)]
+    found = sorted((r.system_job_id, r.raw_skill) for r in both.skills.collect())
+    assert [f for f in found if f[0] != "nan"] == [
+        ("1", "python"), ("2", "data analysis"), ("2", "data analysis"), ("2", "python"),
+    ]

@@ -404,6 +404,11 @@ FROM texts, cover"""
 
 REPORT, REPORT_EXTRA = report(WHOLE), report(WHOLE_EXTRA)
 
+AGAIN = (
+    "FROM (SELECT * REPLACE (CASE WHEN o_orderkey < (SELECT count(*) // 4 FROM orders) "
+    "THEN o_custkey + 1 ELSE o_custkey END AS o_custkey) FROM orders) JOIN part"
+)
+
 SCANNED = f"WITH {RAW}, {NULLED}, {TYPED} SELECT * FROM typed"
 CLEAN_TAXONOMY = f"WITH {TAX} SELECT * FROM tax"
 
@@ -498,6 +503,8 @@ ORACLES = {
     "quality_report": REPORT,
     "full_run": REPORT_EXTRA,
     "stream_structured_jobs": f"WITH {WHOLE} {JOBS}",
+    "stream_upsert_jobs": f"WITH {WHOLE} {JOBS}".replace("FROM orders JOIN part", AGAIN),
+    "stream_upsert_counts": f"WITH {LONG} {TOP}".replace("FROM orders JOIN part", AGAIN),
     "stream_structured_skills": f"WITH {LONG} SELECT {SKILL_COLUMNS} FROM long",
     "stream_totals": f"WITH {LONG} SELECT (SELECT count(*) FROM typed) AS jobs, "
     "(SELECT count(*) FROM long) AS mappings",

@@ -471,6 +471,37 @@ def stream_totals(spark, folder):
     return incremental.running_totals(spark, _streamed(spark, folder))
 
 
+def _sent_again(spark, folder):
+    """The postings as a stream whose first quarter is sent again, with other job numbers, at last."""
+    base = work_path(spark, f"stream-{uuid.uuid4().hex}")
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    part = views.table(spark, folder, "part")
+    lookup = _lookup(spark, folder)
+    n = orders.count()
+    key = F.col("o_orderkey")
+    changed = (F.col("o_custkey") + 1).cast(orders.schema["o_custkey"].dataType)
+    for sending in (
+        orders.filter(key < n // 2),
+        orders.filter(key >= n // 2),
+        orders.filter(key < n // 4).withColumn("o_custkey", changed),
+    ):
+        sending.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(orders.schema).parquet(f"{base}/in")
+        incremental.structure_stream(
+            views.postings_from(stream, part), lookup, f"{base}/out", f"{base}/checkpoint"
+        ).awaitTermination()
+    return incremental.merged(spark, f"{base}/out")
+
+
+def stream_upsert_jobs(spark, folder):
+    return _epochs(_sent_again(spark, folder).jobs)
+
+
+def stream_upsert_counts(spark, folder):
+    """Mappings per taxonomy skill over the last sendings."""
+    return report.top_skills(_sent_again(spark, folder).skills)
+
+
 ALL = [
     scan_postings, scan_postings_csv, scan_taxonomy_csv, active_only, tri_bool, numeric_coerce,
     timestamp_coerce, null_tokens, sample_limit, union_sources, bool_render, float_rounding,
@@ -486,5 +517,6 @@ ALL = [
     skill_tfidf_top3, map_to_taxonomy,
     coverage, top_skills, quality_report, full_run,
     stream_structured_jobs, stream_structured_skills, stream_totals,
+    stream_upsert_jobs, stream_upsert_counts,
 ]
 QUERIES = {query.__name__: query for query in ALL}
