@@ -60,8 +60,10 @@ SMOOTHING = 0.05
 UNKNOWN = 1e-6
 #: Each character scales the forward sums by this, so that they stay in range.
 SCALE = 100.0
-#: Words whose scores a task remembers.
+#: Words whose scores a task remembers; words and characters it works on at once.
 CACHE = 200_000
+WORDS_AT_ONCE = 20_000
+CHARS_AT_ONCE = 1 << 19
 
 START = "▁"
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -237,18 +239,33 @@ class Model:
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log probability of each word (rows) in each language (columns)."""
         out = np.zeros((len(words), len(self.languages)))
-        for codes, at in matrices(words):
-            width = codes.shape[1]
-            edges = self.lattice.edges(codes)
-            for column, scaled in enumerate(self.scaled):
-                total = forward(edges, scaled, width)[:, width]
-                out[at, column] = np.log(total) - width * np.log(SCALE)
+        for start in range(0, len(words), WORDS_AT_ONCE):
+            for codes, at in matrices(words[start : start + WORDS_AT_ONCE]):
+                width = codes.shape[1]
+                edges = self.lattice.edges(codes)
+                for column, scaled in enumerate(self.scaled):
+                    total = forward(edges, scaled, width)[:, width]
+                    out[start + at, column] = np.log(total) - width * np.log(SCALE)
         return out
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and score of each text."""
+        """Language and score of each text; a few texts at a time, so that memory is bounded."""
         if not self.languages:
             return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        names: list[str] = []
+        scores: list[float] = []
+        part: list[str | None] = []
+        held = 0
+        for text in texts:
+            part.append(text)
+            held += len(text or "") + 100
+            if held > CHARS_AT_ONCE:
+                self._score_into(part, names, scores)
+                part, held = [], 0
+        self._score_into(part, names, scores)
+        return names, scores
+
+    def _score_into(self, texts: list[str | None], names: list[str], scores: list[float]) -> None:
         lists = [split_words(t) if t else [] for t in texts]
         if len(self.known) > CACHE:
             self.known, self.table = {}, self.table[:0]
@@ -257,7 +274,6 @@ class Model:
         if new:
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             self.table = np.concatenate([self.table, self.word_scores(new)])
-        names, scores = [], []
         for words in lists:
             if not words:
                 names.append(UNDETERMINED)
@@ -269,7 +285,6 @@ class Model:
             relative = (total - total[best]) * min(1.0, TEMPER / len(words))
             names.append(self.languages[best])
             scores.append(float(1.0 / np.exp(relative).sum()))
-        return names, scores
 
 
 def held_out(key: str = "doc_id") -> F.Column:
