@@ -4,8 +4,9 @@ Per document the plain rules are counted (words, symbols, repeated lines,
 repeated five-word windows).  Across documents, lines are normalised (A-Z
 lower-cased, runs of digits as one 0, other runs of ASCII characters as one
 space) and hashed, and per host the documents that hold a line are counted.
-Copies of a document are one document: where the lines before and after are
-the same too, a further copy does not count.  A line is frequent when at least
+Copies of a document, with the same normalised lines from first to last, are
+one document, and a line that a document repeats counts once.  A line is
+frequent when at least
 ``min_documents`` documents of its host hold it, and ``min_share`` of them.  A
 document is depleted when less than ``min_left`` of its words stand outside
 frequent lines.
@@ -62,7 +63,7 @@ MEASURES = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
     "n_repeat_words bigint"
 )
-LINES = "lines array<struct<line:bigint,around:bigint,words:bigint>>"
+LINES = "_copy bigint, lines array<struct<line:bigint,words:bigint>>"
 
 
 def normal_line(line: str) -> bytes:
@@ -96,17 +97,13 @@ def _signed(value: int) -> int:
     return struct.unpack("<q", struct.pack("<Q", value))[0]
 
 
-def line_hashes(lines: list[str]) -> list[dict[str, int]]:
-    """Hash of each normalised line that has a character left, its neighbours', and its words."""
-    normal = [(normal_line(x), len(words_of(x))) for x in lines]
-    hashed = [(xxhash.xxh3_64_intdigest(x), n) for x, n in normal if x]
-    out = []
-    for k, (line, n) in enumerate(hashed):
-        before = hashed[k - 1][0] if k else 0
-        after = hashed[k + 1][0] if k + 1 < len(hashed) else 0
-        around = xxhash.xxh3_64_intdigest(struct.pack("<QQ", before, after))
-        out.append({"line": _signed(line), "around": _signed(around), "words": n})
-    return out
+def line_hashes(lines: list[str]) -> tuple[int, list[dict[str, int]]]:
+    """Hash of a text's normalised lines together; hash of each that is not empty, and its words."""
+    normal = [(x, len(words_of(line))) for line in lines if (x := normal_line(line))]
+    whole = xxhash.xxh3_64_intdigest(b"\n".join(x for x, _ in normal))
+    return _signed(whole), [
+        {"line": _signed(xxhash.xxh3_64_intdigest(x)), "words": n} for x, n in normal
+    ]
 
 
 def counts(text: str | None, ids: WordIds) -> tuple[int, int, int, int, int]:
@@ -135,9 +132,11 @@ def _measured(documents: DataFrame, text: str, keep: list[str]) -> DataFrame:
             raw = batch.column(at).to_pylist()
             found = list(zip(*(counts(t, ids) for t in raw), strict=True)) or [()] * 5
             out = {name: batch.column(i) for i, name in enumerate(keep)}
-            names = [f.name for f in schema.fields[at:-1]]
+            names = [f.name for f in schema.fields[at:-2]]
             out |= {name: list(x) for name, x in zip(names, found, strict=True)}
-            out["lines"] = [line_hashes(t.split("\n")) if t else [] for t in raw]
+            hashed = [line_hashes((t or "").split("\n")) for t in raw]
+            out["_copy"] = [x for x, _ in hashed]
+            out["lines"] = [x for _, x in hashed]
             return out
 
         return work
@@ -155,9 +154,9 @@ def base_failed() -> Column:
 def frequent_lines(
     lined: DataFrame, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE
 ) -> DataFrame:
-    """Frequent lines per host, from a table of (host, lines)."""
+    """Frequent lines per host, from a table of (host, _copy, lines)."""
     totals = lined.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
-    each = lined.select("host", F.explode("lines").alias("l")).select("host", "l.line", "l.around")
+    each = lined.select("host", "_copy", F.explode("lines.line").alias("line"))
     held = (
         each.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders"))
         .filter(F.col("holders") >= min_documents)
@@ -172,8 +171,8 @@ def frequent_lines(
 def _judged(staged: DataFrame, **limits) -> tuple[DataFrame, DataFrame]:
     """The staged documents with their verdicts, and the frequent lines each row holds."""
     # a null host hashes to a value of its own, so that joins have plain keys
-    lined = staged.select("_row", F.xxhash64("_host").alias("host"), "lines")
-    found = stage(frequent_lines(lined.select("host", "lines"), **limits), "frequent")
+    lined = staged.select("_row", F.xxhash64("_host").alias("host"), "_copy", "lines")
+    found = stage(frequent_lines(lined.select("host", "_copy", "lines"), **limits), "frequent")
     each = lined.select("_row", "host", F.explode("lines").alias("l")).select(
         "_row", "host", "l.line", "l.words"
     )
@@ -181,7 +180,7 @@ def _judged(staged: DataFrame, **limits) -> tuple[DataFrame, DataFrame]:
     removed = hits.groupBy("_row").agg(
         F.sum("words").alias("_gone"), F.collect_set("line").alias("_lines")
     )
-    return staged.drop("lines"), removed
+    return staged.drop("_copy", "lines"), removed
 
 
 def measure(

@@ -445,6 +445,24 @@ def test_frequent_lines(spark):
     assert banner not in clean[0] and clean[200] == copied and banner in clean[300]
 
 
+def test_frequent_lines_are_counted_by_documents(spark):
+    rng = random.Random(5)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+    block = "\n".join(prose(6) for _ in range(4))
+    data = [(k, f"{prose(40)}\n{block}", "h") for k in range(30)]  # the block ends each text
+    data += [(100, f"{prose(3)}\n{block}", "h")]
+    refrain = prose(4)
+    verses = "\n".join(f"{prose(20)}\n{refrain}" for _ in range(12))
+    data += [(200, verses, "h")]  # one document, in twelve places
+    data += [(300 + k, f"{verses}\n{prose(20)}", "h") for k in range(8)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    found = {r["doc_id"]: r["n_frequent_words"] for r in line_rules.measure(df).collect()}
+    assert {found[k] for k in [*range(30), 100]} == {24}
+    assert {found[k] for k in [200, *range(300, 308)]} == {0}
+    clean = {r["doc_id"]: r["text"] for r in line_rules.filter_documents(df).collect()}
+    assert 100 not in clean and "\n" not in clean[0]
+
+
 def test_repeated_words_by_hand():
     rng = random.Random(7)
     for _ in range(50):
