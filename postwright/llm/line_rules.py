@@ -7,7 +7,7 @@ space) and hashed, and per host the documents that hold a line are counted.
 Copies of a document, with the same normalised lines from first to last, are
 one document, and a line that a document repeats counts once.  A line is
 frequent when at least
-``min_documents`` documents of its host hold it, and ``min_share`` of them.  A
+``min_documents`` documents of its host hold it, however many the host has.  A
 document is depleted when less than ``min_left`` of its words stand outside
 frequent lines.
 
@@ -46,8 +46,9 @@ MIN_WORDS = 10
 MAX_REPEATED = 20
 #: Words of a window.
 WINDOW = 5
-#: A frequent line stands in this many documents of its host at least, and in this share of them.
+#: A frequent line stands in this many documents of its host at least.
 MIN_DOCUMENTS = 10
+#: Further limit of the SQL: share of the rows of a host.
 MIN_SHARE = 0.02
 #: Share of words that must stand outside frequent lines.
 MIN_LEFT = 0.3
@@ -151,21 +152,13 @@ def base_failed() -> Column:
     )
 
 
-def frequent_lines(
-    lined: DataFrame, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE
-) -> DataFrame:
+def frequent_lines(lined: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """Frequent lines per host, from a table of (host, _copy, lines)."""
-    totals = lined.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     each = lined.select("host", "_copy", F.explode("lines.line").alias("line"))
-    held = (
+    return (
         each.distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("holders"))
         .filter(F.col("holders") >= min_documents)
     )
-    return (
-        held.join(totals, "host")
-        .filter(F.col("holders") >= min_share * F.col("documents"))
-        .select("host", "line", "holders")
-    )
 
 
 def _judged(staged: DataFrame, **limits) -> tuple[DataFrame, DataFrame]:

@@ -463,6 +463,19 @@ def test_frequent_lines_are_counted_by_documents(spark):
     assert 100 not in clean and "\n" not in clean[0]
 
 
+def test_frequent_lines_do_not_depend_on_the_size_of_the_host(spark):
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+    banner, rare = prose(6), prose(6)
+    data = [(k, f"{prose(12)}\n{banner}", "h") for k in range(15)]
+    data += [(100 + k, f"{prose(12)}\n{rare}", "h") for k in range(9)]
+    data += [(200, data[0][1], "h")]
+    data += [(1000 + k, prose(12), "h") for k in range(1000)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    found = line_rules.measure(df).filter("n_frequent_words > 0").collect()
+    assert {r["doc_id"] for r in found} == {*range(15), 200}
+
+
 def test_repeated_words_by_hand():
     rng = random.Random(7)
     for _ in range(50):
