@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from postwright.llm import decontaminate, licenses, line_rules, mixing, warc
+from postwright.llm import decontaminate, licenses, line_rules, mixing, substrings, warc
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -247,10 +247,40 @@ FROM taken
 """
 
 
+def substring_removal() -> str:
+    n = substrings.WINDOW
+    return rf"""
+WITH docs AS (
+  SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+),
+places AS (
+  SELECT doc_id, k, md5(array_to_string(w[k : k + {n - 1}], ' ')) AS p
+  FROM docs, unnest(range(1, len(w) - {n - 2})) r(k)
+),
+later AS (
+  SELECT doc_id, k FROM places QUALIFY doc_id > min(doc_id) OVER (PARTITION BY p)
+),
+gone AS (
+  SELECT doc_id, list(DISTINCT i) AS removed FROM later, unnest(range(k, k + {n})) r(i)
+  GROUP BY doc_id
+),
+kept AS (
+  SELECT doc_id, string_agg(w[i], ' ' ORDER BY i) AS rest
+  FROM docs, unnest(range(1, len(w) + 1)) r(i)
+  WHERE NOT EXISTS (FROM (SELECT doc_id AS d, unnest(removed) AS x FROM gone) WHERE d = doc_id AND x = i)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(removed), 0) AS n_removed,
+  sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 LLM_ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan(),
     "op5_decontaminate": decontamination(),
     "op6_warc_revisits": revisits(),
     "op8_line_rules": line_quality(),
     "op10_mixing": source_mixing(),
+    "op13_substring_dedup": substring_removal(),
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from postwright.llm import (
-    decontaminate, html_wrapper, langid, licenses, line_rules, minhash, mixing, secrets, toxicity, warc,
+    decontaminate, html_wrapper, langid, licenses, line_rules, minhash, mixing, secrets, substrings,
+    toxicity, warc,
 )
 from postwright.llm.common import table
 
@@ -58,8 +59,12 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.measure(table(spark, folder, "documents")).drop("removed")
+
+
 ALL = [
     op1_license_scan, op2_html_extract, op3_near_duplicates, op4_toxicity, op5_decontaminate, op6_warc_revisits,
-    op7_secret_scan, op8_line_rules, op9_language, op10_mixing,
+    op7_secret_scan, op8_line_rules, op9_language, op10_mixing, op13_substring_dedup,
 ]
 LLM_QUERIES = {query.__name__: query for query in ALL}
