@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from postwright.llm import decontaminate, licenses, line_rules, mixing, substrings, warc
+from postwright.llm import (
+    collocations, decontaminate, licenses, line_rules, mixing, spelling, substrings, warc,
+)
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -145,24 +147,15 @@ normal AS (
     SELECT doc_id, host, i, {normal} AS line, len({_WORDS.format('body')}) AS words FROM lines
   ) WHERE line <> ''
 ),
-around AS (
-  SELECT doc_id, host, line, words, coalesce(lag(line) OVER o, '') AS before,
-    coalesce(lead(line) OVER o, '') AS after
-  FROM normal WINDOW o AS (PARTITION BY doc_id ORDER BY i)
-),
-held AS (
-  SELECT host, line, count(*) AS holders
-  FROM (SELECT DISTINCT host, line, before, after FROM around) GROUP BY host, line
-),
-hosts AS (
-  SELECT coalesce(source, chr(1)) AS host, count(*) AS documents FROM docs GROUP BY 1
+copies AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS same FROM normal GROUP BY doc_id
 ),
 frequent AS (
-  SELECT host, line FROM held JOIN hosts USING (host)
-  WHERE holders >= {r.MIN_DOCUMENTS} AND holders >= {r.MIN_SHARE} * documents
+  SELECT host, line FROM normal JOIN copies USING (doc_id) GROUP BY host, line
+  HAVING count(DISTINCT same) >= {r.MIN_DOCUMENTS}
 ),
 removed AS (
-  SELECT doc_id, sum(words)::BIGINT AS gone FROM around JOIN frequent USING (host, line)
+  SELECT doc_id, sum(words)::BIGINT AS gone FROM normal JOIN frequent USING (host, line)
   GROUP BY doc_id
 ),
 measured AS (
@@ -247,6 +240,118 @@ FROM taken
 """
 
 
+def _crc32(value: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, four bits at a time."""
+    table = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    values = "[" + ", ".join(f"{c}::BIGINT" for c in table) + "]"
+    step = f"xor(c >> 4, {values}[(xor(c, b) & 15) + 1])"
+    nibbles = (
+        f"list_transform(range(0, 2 * strlen({value})), lambda i: "
+        f"('0x' || substr(hex(encode({value})), (i + 2 * ((i + 1) % 2))::BIGINT, 1))::BIGINT)"
+    )
+    return f"xor(list_reduce({nibbles}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def spelling_variants() -> str:
+    s = spelling
+    return rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id,
+      unnest(regexp_extract_all({_lower("coalesce(text, '')")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents)
+  WHERE length(run) >= {s.MIN_LENGTH} GROUP BY doc_id, run
+),
+checked AS (
+  SELECT run, n, {_crc32('marked')} AS h
+  FROM (SELECT *, doc_id || ':' || run AS marked FROM runs)
+),
+edited AS (
+  SELECT n, CASE WHEN h % {s.EVERY} = 0
+    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+  FROM checked
+),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM edited WHERE length(word) >= {s.MIN_LENGTH}
+  GROUP BY word HAVING sum(n) >= {s.MIN_COUNT}
+),
+holes AS (
+  SELECT word, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hole,
+    substr(word, 1, i - 1) || substr(word, i + 1) AS shorter
+  FROM words, unnest(range(1, length(word) + 1)) r(i)
+),
+pairs AS (
+  SELECT a.word, b.word AS near FROM holes a JOIN holes b USING (hole) WHERE a.word <> b.word
+  UNION SELECT h.word, w.word FROM holes h JOIN words w ON w.word = h.shorter
+  UNION SELECT w.word, h.word FROM holes h JOIN words w ON w.word = h.shorter
+),
+best AS (
+  SELECT p.word, near, w.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near
+  FROM pairs p JOIN words w ON w.word = near
+  QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, near) = 1
+),
+placed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= {s.RATIO} * w.n THEN near END AS form,
+    CASE WHEN near_n >= {s.RATIO} * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+),
+steps AS (
+  SELECT word, word AS at, form AS onward FROM placed
+  UNION ALL
+  SELECT s.word, p.word, p.form FROM steps s JOIN placed p ON p.word = s.onward
+)
+SELECT p.word, form, s.at AS root, n, n_near, form_n
+FROM placed p JOIN steps s ON s.word = p.word AND s.onward IS NULL
+"""
+
+
+def collocation_mining() -> str:
+    c = collocations
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{c.UNKNOWN}') AS lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT lang,
+    unnest(regexp_split_to_array({_lower("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents)
+),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+phrases AS (
+  SELECT lang, array_to_string(w[k : k + s - 1], ' ') AS phrase, s, count(*) AS f
+  FROM pieces, (SELECT unnest(range(1, {c.LONGEST + 1})) AS s), unnest(range(1, len(w) - s + 2)) r(k)
+  GROUP BY ALL HAVING count(*) >= {c.LEAST}
+),
+cut AS (
+  SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS w
+  FROM phrases, unnest(range(1, s)) r(k) WHERE s > 1
+),
+parts AS (
+  SELECT cut.lang, cut.phrase, a, k, x.f AS l, y.f AS r,
+    ({2 * c.UNIT}::HUGEINT * a) // (x.f::HUGEINT + y.f) AS score
+  FROM cut JOIN phrases x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1 : k], ' ')
+    JOIN phrases y ON y.lang = cut.lang AND y.phrase = array_to_string(w[k + 1 : len(w)], ' ')
+),
+weakest AS (
+  SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+around AS (
+  SELECT lang, array_to_string(w[k : k + n - 1], ' ') AS phrase, max(f) AS around
+  FROM (SELECT lang, f, string_split(phrase, ' ') AS w FROM phrases WHERE s > 2) q,
+    unnest(range(2, len(w))) t(n), unnest(range(1, len(w) - n + 2)) r(k)
+  GROUP BY ALL
+)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM weakest LEFT JOIN around USING (lang, phrase) JOIN totals USING (lang)
+WHERE around IS NULL OR 100::HUGEINT * around < {c.INSIDE}::HUGEINT * a
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER o <= {c.TOP}
+"""
+
+
 def substring_removal() -> str:
     n = substrings.WINDOW
     return rf"""
@@ -282,5 +387,7 @@ LLM_ORACLES: dict[str, str] = {
     "op6_warc_revisits": revisits(),
     "op8_line_rules": line_quality(),
     "op10_mixing": source_mixing(),
+    "op11_spelling_variants": spelling_variants(),
+    "op12_collocations": collocation_mining(),
     "op13_substring_dedup": substring_removal(),
 }

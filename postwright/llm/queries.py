@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from postwright.llm import (
-    decontaminate, html_wrapper, langid, licenses, line_rules, minhash, mixing, secrets, substrings,
-    toxicity, warc,
+    collocations, decontaminate, html_wrapper, langid, licenses, line_rules, minhash, mixing,
+    secrets, spelling, substrings, toxicity, warc,
 )
 from postwright.llm.common import table
 
@@ -59,12 +59,21 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group(table(spark, folder, "documents"))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"))
+
+
 def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.measure(table(spark, folder, "documents")).drop("removed")
 
 
 ALL = [
     op1_license_scan, op2_html_extract, op3_near_duplicates, op4_toxicity, op5_decontaminate, op6_warc_revisits,
-    op7_secret_scan, op8_line_rules, op9_language, op10_mixing, op13_substring_dedup,
+    op7_secret_scan, op8_line_rules, op9_language, op10_mixing, op11_spelling_variants,
+    op12_collocations, op13_substring_dedup,
 ]
 LLM_QUERIES = {query.__name__: query for query in ALL}
