@@ -19,6 +19,7 @@ from postwright.functions import phrases
 from postwright.operators.postings import ROW_KEY, with_row_key
 from postwright.operators.shaping import Reference, first_per, join_spread, measured, probe
 from postwright.operators.taxonomy import exact_lookup
+from postwright.operators.tries import scan_tokens
 
 ID = "system_job_id"
 
@@ -37,6 +38,15 @@ def build_lookup(taxonomy: DataFrame, max_words: int | None = None) -> Reference
     return measured(table, sizes=F.array_sort(F.collect_set(F.when(usable, words))))
 
 
+def phrase_arrays(
+    postings: DataFrame, keep: Sequence[str], sizes: Sequence[int] | None = None, text: str = "description_clean"
+) -> DataFrame:
+    """The distinct window phrases of each posting as one array; only ``keep`` columns travel along."""
+    sizes = range(1, fixed.MAX_PHRASE_TOKENS + 1) if sizes is None else sizes
+    found = phrases.skill_phrases(phrases.skill_tokens(text), sizes)
+    return postings.select(*keep, F.expr(found).alias("phrases"))
+
+
 def exploded_phrases(
     postings: DataFrame, keep: Sequence[str], sizes: Sequence[int] | None = None, text: str = "description_clean"
 ) -> DataFrame:
@@ -53,17 +63,28 @@ def without_noise(candidates: DataFrame) -> DataFrame:
     return candidates.filter(~F.col("phrase").isin(fixed.BENEFIT_NOISE))
 
 
-def window_candidates(
+def phrase_candidates(
     postings: DataFrame,
     lookup: Reference,
     keep: Sequence[str] = (ROW_KEY, ID),
     text: str = "description_clean",
+    limit: int | None = None,
 ) -> DataFrame:
-    """Window phrases that may be in the lookup: only lengths that occur there are built."""
+    """Phrases of each posting that may be in the lookup.
+
+    A lookup within the limit is held by every task as a trie, and only phrases
+    that are in it come out.  Beyond it, all windows do whose length occurs there.
+    """
     sizes = lookup.facts["sizes"]
     if not sizes:
         return postings.select(*keep, F.lit("").alias("phrase")).filter(F.lit(False))
-    return without_noise(exploded_phrases(postings, keep, sizes, text))
+    if not lookup.fits(limit):
+        return without_noise(exploded_phrases(postings, keep, sizes, text))
+    usable = F.length("phrase") >= fixed.MIN_PHRASE_LENGTH
+    usable &= F.size(F.split("phrase", " ")).isin(sizes)
+    entries = [r[0] for r in lookup.table.filter(usable).select("phrase").distinct().collect()]
+    tokens = postings.select(*keep, F.expr(phrases.skill_tokens(text)).alias("_tokens"))
+    return without_noise(scan_tokens(tokens, "_tokens", entries, keep, "phrase"))
 
 
 def vocabulary_scan(
@@ -73,9 +94,11 @@ def vocabulary_scan(
     text: str = "description_clean",
     limit: int | None = None,
 ) -> DataFrame:
-    """Candidates: window phrases of the text that are in the lookup."""
-    windows = window_candidates(postings, lookup, keep, text)
-    return probe(windows, lookup.only("phrase"), "phrase", keep, "left_semi", limit)
+    """Candidates: phrases of the text that are in the lookup."""
+    found = phrase_candidates(postings, lookup, keep, text, limit)
+    if lookup.fits(limit):
+        return found
+    return probe(found, lookup.only("phrase"), "phrase", keep, "left_semi", limit)
 
 
 def union_candidates(vocabulary: DataFrame, extra: DataFrame) -> DataFrame:
@@ -172,8 +195,8 @@ def map_postings(
     one join and nothing is left over for similarity.
     """
     keyed = with_row_key(postings)
-    windows = window_candidates(keyed, lookup, (ROW_KEY, id_col), text)
-    mapped = exact_matches(windows, lookup, min_confidence, limit)
+    found = phrase_candidates(keyed, lookup, (ROW_KEY, id_col), text, limit)
+    mapped = exact_matches(found, lookup, min_confidence, limit)
     # Row keys are unique and a posting's phrases are bounded by its text, so one
     # exchange on the row key serves both rankings.  Candidates from elsewhere have no
     # such bound: rank_mappings alone groups those by (key, skill) first.
