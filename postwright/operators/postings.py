@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postwright import fixed
 from postwright.functions import coerce, fields, text
+from postwright.operators.shaping import PLACE, first_in_order
 
 log = logging.getLogger(__name__)
 
@@ -23,12 +24,13 @@ EXTRACTED = [
 def keep_wanted(df: DataFrame) -> DataFrame:
     """Wanted columns that the source has, in the wanted order; the rest is pruned.
 
-    A row key given by the source stays.
+    A row key and a place given by the source stay.
     """
     missing = set(fixed.POSTING_COLUMNS) - set(df.columns)
     if missing:
         log.warning("columns not in the source: %s", sorted(missing))
-    return df.select(*[c for c in (*fixed.POSTING_COLUMNS, ROW_KEY) if c in df.columns])
+    known = (*fixed.POSTING_COLUMNS, ROW_KEY, *PLACE)
+    return df.select(*[c for c in known if c in df.columns])
 
 
 def with_row_key(df: DataFrame) -> DataFrame:
@@ -44,9 +46,8 @@ def with_row_key(df: DataFrame) -> DataFrame:
 
 def null_missing(df: DataFrame) -> DataFrame:
     """Missing-value texts of every text column become null."""
-    return df.withColumns(
-        {c: F.expr(coerce.null_tokens(c)) for c, kind in df.dtypes if kind == "string"}
-    )
+    texts = [c for c, kind in df.dtypes if kind == "string" and c not in PLACE]
+    return df.withColumns({c: F.expr(coerce.null_tokens(c)) for c in texts})
 
 
 def drop_expired(df: DataFrame) -> DataFrame:
@@ -74,13 +75,18 @@ def type_postings(df: DataFrame) -> DataFrame:
 def prepare_postings(
     raw: DataFrame, active_only: bool = False, sample_size: int | None = None
 ) -> DataFrame:
-    """Raw text columns to typed postings: prune, null, filter, limit, type."""
+    """Raw text columns to typed postings: prune, null, filter, limit, type.
+
+    A sample is the first rows by place where the rows have one, and else the
+    first that come.
+    """
     df = null_missing(keep_wanted(raw))
     if active_only:
         df = drop_expired(df)
     if sample_size is not None:
-        df = df.limit(sample_size)
-    return type_postings(df)
+        placed = all(c in df.columns for c in PLACE)
+        df = first_in_order(df, sample_size) if placed else df.limit(sample_size)
+    return type_postings(df.drop(*PLACE))
 
 
 def union_sources(sources: list[DataFrame]) -> DataFrame:

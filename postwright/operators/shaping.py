@@ -12,6 +12,8 @@ from pyspark.sql.window import Window
 
 # A reference table is broadcast only when its measured size is below this.
 BROADCAST_BYTES = 64 << 20
+# Where a row of a file comes from: file, start of the split in it, number in the split.
+PLACE = ("_file", "_block", "_seq")
 # A key counts as hot from this share of all rows on.
 HOT_SHARE = 0.005
 
@@ -42,6 +44,29 @@ def first_per(
     )
 
 
+def first_in_order(rows: DataFrame, n: int, place: Sequence[str] = PLACE) -> DataFrame:
+    """The first ``n`` rows by file, split and number, spread over the tasks that hold them.
+
+    Rows are counted per split; the splits before the cut are taken whole, and
+    only in the one that holds the cut are rows numbered.
+    """
+    file, block, seq = place
+    counts = rows.groupBy(file, block).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy(file, block))  # one row per split
+    cut = (
+        counts.withColumn("_upto", upto)
+        .withColumn("_before", F.col("_upto") - F.col("_n"))
+        .filter(F.col("_before") < n)
+        .select(file, block, "_upto", "_before")
+    )
+    taken = rows.join(cut, [file, block])
+    whole = taken.filter(F.col("_upto") <= n)
+    order = Window.partitionBy(file, block).orderBy(seq)
+    part = taken.filter(F.col("_upto") > n).withColumn("_at", F.row_number().over(order))
+    part = part.filter(F.col("_at") <= n - F.col("_before")).drop("_at")
+    return whole.unionByName(part).select(rows.columns)
+
+
 @dataclass(frozen=True)
 class Reference:
     """A small-side table together with its measured size."""

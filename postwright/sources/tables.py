@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,72 +14,116 @@ from pyspark.sql import types as T
 from postwright import fixed
 from postwright.functions.coerce import null_tokens, to_number
 from postwright.operators import postings, taxonomy
-from postwright.operators.shaping import fill_cores
+from postwright.operators.shaping import PLACE, fill_cores
+from postwright.session import work_path
+from postwright.sources import records
 
 # doubled quotes inside quoted fields, blanks kept
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+# a record has been put together, so a line feed in it is part of a field
+RECORD_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true"}
 
+#: Files read at first for a sample, and how many more the next time.
+FIRST_FILES = 1
+MORE_FILES = 4
 
-def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """Files of a path grouped by their first line.
 
-    Spark takes the columns of all files from the first one's heading, so files
-    with other headings are read on their own.  One pass keeps the first line of
-    each file; the driver gets the file names that a scan lists anyway.
+def _read_csv(
+    spark: SparkSession, path: str | Sequence[str], multi_line: bool, work: str | None
+) -> DataFrame:
+    """Rows of CSV files with their places; columns of files with other headings are matched by name.
+
+    The files are read once, split by split (see ``records``), and their records
+    stored in the work folder.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    )
-    first = (
-        lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("heading"))
+    found = records.records(spark, path, multi_line, work)
+    tables = [
+        records.parsed(table, names, RECORD_OPTIONS) for names, table in records.by_heading(found)
+    ]
+    return postings.union_sources(tables) if tables else spark.createDataFrame([], "_file string")
+
+
+def _read(
+    spark: SparkSession, path: str | Sequence[str], fmt: str, multi_line: bool, work: str | None
+) -> DataFrame:
+    """Rows of a table as text, with their places."""
+    if fmt == "csv":
+        return _read_csv(spark, path, multi_line, work)
+    raw = spark.read.format(fmt).load(path if isinstance(path, str) else list(path))
+    places = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+              F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()]
+    return raw.select(
+        *[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns],
+        *[place.alias(name) for name, place in zip(PLACE, places, strict=True)],
     )
-    files = first.groupBy("heading").agg(F.array_sort(F.collect_list("file")).alias("files"))
-    return [row["files"] for row in files.orderBy("heading").collect()]
 
 
-def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    # A file with line breaks inside fields cannot be split: one task per
-    # file.  Large inputs should come as many files, or as Parquet.
-    # enforceSchema: a heading other than the first file's is an error, not a mix-up.
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, enforceSchema=False)
-    groups = _files_by_header(spark, path)
-    if len(groups) < 2:
-        return reader.csv(path)
-    return postings.union_sources([reader.csv(files) for files in groups])
+def plain_path(spark: SparkSession, uri: str) -> str:
+    """The path that a scan gives as an encoded address."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
 
 
-def _read(spark: SparkSession, path: str, fmt: str, multi_line: bool) -> DataFrame:
-    if fmt == "csv":
-        return _read_csv(spark, path, multi_line)
-    raw = spark.read.format(fmt).load(path)
-    return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
+def _files(spark: SparkSession, path: str | Sequence[str], fmt: str) -> list[str]:
+    """The files of a path in order, as a scan lists them."""
+    listed = spark.read.format("text" if fmt == "csv" else fmt).load(path).inputFiles()
+    return sorted(plain_path(spark, uri) for uri in listed)
+
+
+def _sample(
+    spark: SparkSession, paths: Sequence[str], active_only: bool, n: int, fmt: str,
+    multi_line: bool, work: str,
+) -> DataFrame:
+    """The first ``n`` wanted rows, by path as given, file, and place in the file.
+
+    Files are read in order, a few and then more, until they hold enough rows.
+    """
+    files = [(k, f) for k, path in enumerate(paths) for f in _files(spark, path, fmt)]
+    tables, rows, at, step = [], 0, 0, FIRST_FILES
+    while at < len(files) and rows < n:
+        for k in sorted({k for k, _ in files[at : at + step]}):
+            part = [f for j, f in files[at : at + step] if j == k]
+            raw = _read(spark, part, fmt, multi_line, f"{work}/{len(tables)}")
+            raw = raw.withColumn(PLACE[0], F.concat(F.lit(f"{k:06d} "), PLACE[0]))
+            tables.append(postings.keep_wanted(raw))
+            wanted = postings.prepare_postings(raw.select("expired"), True) if (
+                active_only and "expired" in raw.columns
+            ) else raw
+            rows += wanted.count()
+        at, step = at + step, step * MORE_FILES
+    if not tables:
+        return empty_postings(spark)
+    union = postings.union_sources(tables)
+    keyed = postings.with_row_key(union)
+    return postings.prepare_postings(keyed, active_only, n)
 
 
 def scan_postings(
     spark: SparkSession,
-    path: str | Sequence[str],
+    path: str | Sequence[str | Sequence[str]],
     active_only: bool = False,
     sample_size: int | None = None,
     fmt: str = "csv",
     multi_line: bool = True,
+    work: str | None = None,
 ) -> DataFrame:
-    """Typed postings of one path or of several with differing headers.
+    """Typed postings of one path or of several with differing headers; a list counts as one path.
 
-    Every row gets its key here.  A sample is the first rows that the scan
-    delivers; tasks stop reading at the sample size.
+    Every row gets its key here.  A sample is the first rows by path, file and
+    place in the file.  CSV records are stored in the folder ``work`` first, or in
+    one of its own in the work folder; without ``multi_line`` each line is one.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = [postings.keep_wanted(_read(spark, p, fmt, multi_line)) for p in paths]
-    if not raw:
+    if not paths:
         return empty_postings(spark)
-    keyed = postings.with_row_key(postings.union_sources(raw))
-    if sample_size is None:
-        return postings.prepare_postings(fill_cores(keyed), active_only)
-    sample = postings.prepare_postings(keyed, active_only, sample_size)
-    return sample.repartition(spark.sparkContext.defaultParallelism)  # a limit ends in one
+    work = work or work_path(spark, f"records-{uuid.uuid4().hex}")
+    if sample_size is not None:
+        return fill_cores(_sample(spark, paths, active_only, sample_size, fmt, multi_line, work))
+    raw = [
+        postings.keep_wanted(_read(spark, p, fmt, multi_line, f"{work}/{k}"))
+        for k, p in enumerate(paths)
+    ]
+    keyed = postings.with_row_key(postings.union_sources(raw).drop(*PLACE))
+    return postings.prepare_postings(fill_cores(keyed), active_only)
 
 
 def posting_schema(columns: Sequence[str] = fixed.POSTING_COLUMNS) -> T.StructType:
@@ -97,16 +142,18 @@ def scan_taxonomy(
     threshold: float = fixed.TAXONOMY_THRESHOLD,
     fmt: str = "csv",
     multi_line: bool = True,
+    work: str | None = None,
 ) -> DataFrame:
     """Cleaned taxonomy; all six source columns are required."""
-    return taxonomy.clean_taxonomy(raw_taxonomy(spark, path, fmt, multi_line), threshold)
+    return taxonomy.clean_taxonomy(raw_taxonomy(spark, path, fmt, multi_line, work), threshold)
 
 
 def raw_taxonomy(
-    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True
+    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True,
+    work: str | None = None,
 ) -> DataFrame:
     """Taxonomy rows as read, with snake-case names and a numeric correlation."""
-    df = taxonomy.rename_taxonomy(_read(spark, path, fmt, multi_line))
+    df = taxonomy.rename_taxonomy(_read(spark, path, fmt, multi_line, work).drop(*PLACE))
     df = df.withColumns({c: F.expr(null_tokens(c)) for c in df.columns})
     return df.withColumn("correlation", F.expr(to_number("correlation")))
 
