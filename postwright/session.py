@@ -39,3 +39,26 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a table once and go on from the file: what follows no longer depends on the past."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def folders(spark: SparkSession, path: str, marker: str | None = None) -> list[str]:
+    """The folders in a folder, or those of them that hold a file of this name; none where it is missing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    found = [f.getPath() for f in system.listStatus(place) if f.isDirectory()]
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(
+        f"{path}/{f.getName()}" for f in found if marker is None or system.exists(path_of(f, marker))
+    )
+
+
+def finished(spark: SparkSession, path: str) -> list[str]:
+    """The tables in a folder whose writing ended."""
+    return folders(spark, path, "_SUCCESS")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
