@@ -21,11 +21,14 @@ from postwright.operators.skills import (
 from postwright.operators.taxonomy import clean_taxonomy, exact_lookup, taxonomy_stats
 from postwright.plans.structure import Rules, run, structure
 from postwright.session import session
+from postwright.sinks.runs import published
 from postwright.sinks.tables import write_report, write_table
 from postwright.sources.tables import scan_postings, scan_taxonomy, validate_inputs
 from postwright.streaming.incremental import (
     merged,
+    running_report,
     running_totals,
+    stream_files,
     stream_postings,
     structure_stream,
 )
@@ -34,8 +37,8 @@ __all__ = [
     "Rules", "attach_skill_count", "attach_summary", "attach_top_skills", "build_index", "build_lookup",
     "clean_postings", "clean_taxonomy", "coverage", "description_stats", "drop_expired",
     "exact_lookup", "extract_fields", "map_postings", "map_to_taxonomy", "merge_salary", "merged",
-    "prepare_postings", "quality_report", "run", "running_totals", "scan_postings",
-    "scan_taxonomy", "session", "similar_skills", "similarity_matches", "stream_postings",
-    "structure", "structure_stream", "taxonomy_stats", "top_skills", "union_sources",
+    "prepare_postings", "published", "quality_report", "run", "running_report", "running_totals",
+    "scan_postings", "scan_taxonomy", "session", "similar_skills", "similarity_matches",
+    "stream_files", "stream_postings", "structure", "structure_stream", "taxonomy_stats", "top_skills", "union_sources",
     "validate_inputs", "write_report", "write_table",
 ]

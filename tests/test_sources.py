@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from postwright import fixed, run, scan_postings, scan_taxonomy, validate_inputs
+from postwright import fixed, published, run, scan_postings, scan_taxonomy, validate_inputs
 from postwright.functions import coerce
 from postwright.operators import postings, report, taxonomy
 from postwright.sinks import tables as sinks
@@ -171,7 +171,7 @@ def test_whole_run(spark, tmp_path):
     (tmp_path / "tax.csv").write_text(TAXONOMY_CSV)
     out = str(tmp_path / "out")
     run(spark, str(tmp_path / "jobs.csv"), str(tmp_path / "tax.csv"), out, include_description=True)
-    jobs = spark.read.csv(out + "/structured_jobs", header=True).collect()
+    jobs = spark.read.csv(published(spark, out)["structured_jobs"], header=True).collect()
     # copies of an id share the summed count
     assert sorted((r.system_job_id, r.skill_count, r.top_3_skills) for r in jobs) == [
         ("1", "2", "analyse data | python"),
@@ -180,8 +180,8 @@ def test_whole_run(spark, tmp_path):
     ]
     assert {r.salary_final_min for r in jobs} == {"30.0"}
     assert "description_clean" in jobs[0]
-    assert spark.read.csv(out + "/structured_skills", header=True).count() == 6
-    text = spark.read.text(out + "/quality_report", wholetext=True).first()[0]
+    assert spark.read.csv(published(spark, out)["structured_skills"], header=True).count() == 6
+    text = spark.read.text(published(spark, out)["quality_report"], wholetext=True).first()[0]
     summary = json.loads(text)
     assert summary["totals"] == {"total_jobs_processed": 3, "total_skill_mappings": 6}
     assert summary["top_20_taxonomy_skills"][0] == {"taxonomy_skill": "analyse data", "job_count": 3}
