@@ -109,7 +109,7 @@ def cleaned(text: str) -> str:
     return tidied(masked(markup_stripped(text)))
 
 
-CLEAN = f"clean AS (SELECT *, {cleaned('description')} AS text FROM typed)"
+CLEAN = f"clean AS MATERIALIZED (SELECT *, {cleaned('description')} AS text FROM typed)"
 
 
 def stats(length: str) -> str:
@@ -123,12 +123,13 @@ def stats(length: str) -> str:
 # ------------------------------------------------------------------ fields
 
 
-def group(text: str, pattern: str, n: int) -> str:
-    return f"regexp_extract({text}, {q('(?i)' + pattern)}, {n})"
+def groups(text: str, pattern: str, *names: str) -> str:
+    """The groups of the first match as a struct: the pattern is run once."""
+    return f"regexp_extract({text}, {q('(?i)' + pattern)}, [{listed(names)}])"
 
 
-def amount(text: str, pattern: str, n: int, scale: str) -> str:
-    return f"TRY_CAST(replace({group(text, pattern, n)}, ',', '') AS DOUBLE) * {scale}"
+def amount(text: str, scale: str) -> str:
+    return f"TRY_CAST(replace({text}, ',', '') AS DOUBLE) * {scale}"
 
 
 def unit(text: str) -> str:
@@ -137,18 +138,25 @@ def unit(text: str) -> str:
     ) + " END"
 
 
-def pay(source: str, name: str, pattern: str, scale: str) -> str:
+def pay_columns(name: str, scale: str) -> str:
+    return f"""{amount(f'{name}.a', scale)} AS {name}_a,
+  nullif({amount(f'{name}.b', scale)}, 0) AS {name}_b, {unit(f'{name}.u')} AS {name}_u"""
+
+
+def in_bounds(name: str) -> str:
     bounds = " ".join(
-        f"WHEN {q(label)} THEN least(a, b) BETWEEN {lo} AND {hi}"
+        f"WHEN {q(label)} THEN least({name}_a, {name}_b) BETWEEN {lo} AND {hi}"
         for label, _, lo, hi in fixed.PAY_UNITS
     )
-    return f"""{name}_raw AS (SELECT system_job_id,
-  {amount('text', pattern, 1, scale)} AS a,
-  nullif({amount('text', pattern, 2, scale)}, 0) AS b,
-  {unit(group('text', pattern, 3))} AS u FROM {source}),
-{name} AS (SELECT system_job_id, coalesce(least(a, b), a) AS lo,
-  CASE WHEN b IS NOT NULL THEN greatest(a, b) END AS hi, u
-  FROM {name}_raw WHERE u IS NOT NULL AND CASE u {bounds} END)"""
+    return f"coalesce(CASE {name}_u {bounds} END, FALSE) AS {name}_ok"
+
+
+def of_pay(value: str) -> str:
+    """The dollar amount's value where it counts, else that of the amount in thousands."""
+    return (
+        f"CASE WHEN dollar_ok THEN {value.format('dollar')} "
+        f"WHEN kilo_ok THEN {value.format('kilo')} END"
+    )
 
 
 def education(text: str) -> str:
@@ -162,22 +170,23 @@ WORDS = "CASE lower(y1) " + " ".join(
 ) + " ELSE TRY_CAST(y1 AS DOUBLE) END"
 FLAGS = ", ".join(f"{found('text', p)} AS {n}" for n, p in fixed.FLAGS.items())
 
-FIELDS = f"""{pay('clean', 'dollar', fixed.SALARY_DOLLAR, '1.0')},
-{pay('clean', 'kilo', fixed.SALARY_K, '1000.0')},
-years_raw AS (SELECT *, {group('text', fixed.EXPERIENCE, 1)} AS y1,
-  {group('text', fixed.EXPERIENCE, 2)} AS y2 FROM clean),
-years AS (SELECT *, CAST({WORDS} AS DOUBLE) AS lo_year, TRY_CAST(y2 AS DOUBLE) AS hi_year
-  FROM years_raw),
-fields AS (SELECT c.*,
-  CASE WHEN d.u IS NOT NULL THEN d.lo ELSE k.lo END AS salary_text_min,
-  CASE WHEN d.u IS NOT NULL THEN d.hi ELSE k.hi END AS salary_text_max,
-  coalesce(d.u, k.u) AS salary_text_unit,
+FIELDS = f"""matched AS (SELECT *, {groups('text', fixed.SALARY_DOLLAR, 'a', 'b', 'u')} AS dollar,
+  {groups('text', fixed.SALARY_K, 'a', 'b', 'u')} AS kilo,
+  {groups('text', fixed.EXPERIENCE, 'y1', 'y2')} AS years FROM clean),
+read AS (SELECT * EXCLUDE (dollar, kilo, years), {pay_columns('dollar', '1.0')},
+  {pay_columns('kilo', '1000.0')}, years.y1 AS y1, years.y2 AS y2 FROM matched),
+bounded AS (SELECT *, {in_bounds('dollar')}, {in_bounds('kilo')},
+  CAST({WORDS} AS DOUBLE) AS lo_year, TRY_CAST(y2 AS DOUBLE) AS hi_year FROM read),
+fields AS (SELECT *,
+  {of_pay('coalesce(least({0}_a, {0}_b), {0}_a)')} AS salary_text_min,
+  {of_pay('CASE WHEN {0}_b IS NOT NULL THEN greatest({0}_a, {0}_b) END')} AS salary_text_max,
+  {of_pay('{0}_u')} AS salary_text_unit,
   {education('text')} AS education_min,
   CASE WHEN lo_year > 0 AND lo_year <= 50 THEN lo_year END AS experience_min_years,
   CASE WHEN lo_year > 0 AND lo_year <= 50 AND hi_year > 0 AND hi_year <= 50
        AND hi_year >= lo_year THEN hi_year END AS experience_max_years,
   {FLAGS}
-  FROM years c LEFT JOIN dollar d USING (system_job_id) LEFT JOIN kilo k USING (system_job_id)),
+  FROM bounded),
 merged AS (SELECT *,
   coalesce(parameters_salary_min, salary_text_min) AS salary_final_min,
   coalesce(parameters_salary_max, salary_text_max) AS salary_final_max,
@@ -284,12 +293,11 @@ long AS (SELECT * FROM dedup QUALIFY row_number() OVER (PARTITION BY system_job_
 
 BASE = f"{POSTINGS}, {TAX}, {LOOKUP}, {SCAN}, mapped AS ({exact('scan')})"
 LONG = f"{BASE}, {ranked('mapped')}"
-SUMMARY = """ordered AS (SELECT system_job_id, taxonomy_skill, row_number() OVER (
+SUMMARY = """placed_skills AS (SELECT system_job_id, taxonomy_skill, row_number() OVER (
     PARTITION BY system_job_id ORDER BY confidence DESC, taxonomy_skill) AS place FROM long),
-summary AS (SELECT l.system_job_id, CAST(count(*) AS BIGINT) AS skill_count,
-  (SELECT string_agg(taxonomy_skill, ' | ' ORDER BY place) FROM ordered o
-   WHERE o.system_job_id = l.system_job_id AND place <= 3) AS top_3_skills
-  FROM long l GROUP BY l.system_job_id)"""
+summary AS (SELECT system_job_id, CAST(count(*) AS BIGINT) AS skill_count,
+  string_agg(taxonomy_skill, ' | ' ORDER BY place) FILTER (place <= 3) AS top_3_skills
+  FROM placed_skills GROUP BY system_job_id)"""
 SKILL_COLUMNS = ", ".join(fixed.SKILL_OUTPUT_COLUMNS)
 
 JOINED = """jobs AS (SELECT m.*, coalesce(skill_count, 0) AS skill_count,
@@ -410,12 +418,15 @@ AGAIN = (
 )
 
 SCANNED = f"WITH {RAW}, {NULLED}, {TYPED} SELECT * FROM typed"
+LINED = SCANNED.replace(") AS description", f") || {views.LINES.format('p_name')} AS description", 1)
+
 CLEAN_TAXONOMY = f"WITH {TAX} SELECT * FROM tax"
 
 ORACLES = {
     "scan_postings": SCANNED,
     "scan_postings_csv": SCANNED,
     "scan_taxonomy_csv": CLEAN_TAXONOMY,
+    "scan_postings_lines": LINED,
     "active_only": f"WITH {RAW}, {NULLED}, {ACTIVE} SELECT system_job_id, "
     f"{tri('expired')} AS expired FROM active",
     "tri_bool": f"WITH {RAW} SELECT system_job_id, expired AS raw, {tri('expired')} AS expired "
@@ -429,6 +440,8 @@ ORACLES = {
     "null_tokens": f"WITH {RAW}, {NULLED} SELECT system_job_id, job_id, created_date FROM nulled",
     "sample_limit": f"WITH {RAW}, {NULLED}, {ACTIVE} SELECT system_job_id, title, "
     f"{tri('expired')} AS expired FROM active ORDER BY system_job_id LIMIT {SAMPLE}",
+    "sample_in_order": f"WITH {RAW}, {NULLED}, {ACTIVE} SELECT system_job_id, title, "
+    f"{tri('expired')} AS expired FROM active ORDER BY CAST(system_job_id AS BIGINT) LIMIT {SAMPLE}",
     "union_sources": f"WITH {RAW}, {NULLED}, {TYPED} SELECT system_job_id, title, "
     "parameters_salary_min, expired FROM typed UNION ALL "
     "SELECT system_job_id, title, NULL, NULL FROM typed",
@@ -505,6 +518,8 @@ ORACLES = {
     "stream_structured_jobs": f"WITH {WHOLE} {JOBS}",
     "stream_upsert_jobs": f"WITH {WHOLE} {JOBS}".replace("FROM orders JOIN part", AGAIN),
     "stream_upsert_counts": f"WITH {LONG} {TOP}".replace("FROM orders JOIN part", AGAIN),
+    "stream_files_jobs": f"WITH {WHOLE} {JOBS}",
+    "stream_report": REPORT.replace("FROM orders JOIN part", AGAIN),
     "stream_structured_skills": f"WITH {LONG} SELECT {SKILL_COLUMNS} FROM long",
     "stream_totals": f"WITH {LONG} SELECT (SELECT count(*) FROM typed) AS jobs, "
     "(SELECT count(*) FROM long) AS mappings",

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from postwright import fixed
 from postwright.functions import coerce, phrases, text
-from postwright.functions.sql import let
 from postwright.operators import mapping, postings, report, similarity, skills, taxonomy
 from postwright.operators.shaping import Reference
 from postwright.plans import structure as plans
@@ -109,6 +108,15 @@ def scan_postings_csv(spark, folder):
     return _epochs(sources.scan_postings(spark, path)).drop(skills.ROW_KEY)
 
 
+def scan_postings_lines(spark, folder):
+    """Descriptions of several lines, with quotes, in one CSV file that is read by splits."""
+    path = work_path(spark, f"csv-{uuid.uuid4().hex}")
+    lined = F.concat("description", F.expr(views.LINES.format("title")))
+    raw = views.postings(spark, folder).withColumn("description", lined)
+    sinks.write_table(raw.coalesce(1), path)
+    return _epochs(sources.scan_postings(spark, path)).drop(skills.ROW_KEY)
+
+
 def scan_taxonomy_csv(spark, folder):
     """The taxonomy written as CSV under its source headings and scanned back."""
     path = work_path(spark, f"csv-{uuid.uuid4().hex}")
@@ -157,6 +165,17 @@ def sample_limit(spark, folder):
     )
 
 
+def sample_in_order(spark, folder):
+    """The first active postings in file order, read from files in the order of their ids."""
+    path = work_path(spark, f"csv-{uuid.uuid4().hex}")
+    number = F.col(ID).cast("long")
+    in_order = views.postings(spark, folder).repartitionByRange(8, number)
+    sinks.write_table(in_order.sortWithinPartitions(number), path)
+    return sources.scan_postings(spark, path, active_only=True, sample_size=SAMPLE).select(
+        ID, "title", "expired"
+    )
+
+
 def union_sources(spark, folder):
     raw = views.postings(spark, folder)
     narrow = raw.drop("parameters_salary_min", "parameters_salary_max", "expired")
@@ -291,15 +310,14 @@ def skill_tokens(spark, folder):
 
 def skill_ngrams(spark, folder):
     """Counts and extremes of each document's phrases, taken from its array."""
-    found = phrases.skill_phrases(phrases.skill_tokens("text"))
-    summed = "aggregate(ps, 0L, (n, p) -> n + length(p))"
-    facts = (
-        "named_struct('n_phrases', CAST(size(ps) AS BIGINT), "
-        f"'n_chars', {summed}, 'first_phrase', array_min(ps), 'last_phrase', array_max(ps))"
-    )
     documents = views.table(spark, folder, "documents")
-    rows = documents.select("doc_id", F.expr(let(found, "ps", facts)).alias("f"))
-    return rows.select("doc_id", "f.*").filter("n_phrases > 0")
+    return skills.phrase_arrays(documents, ["doc_id"], text="text").select(
+        "doc_id",
+        F.size("phrases").cast("long").alias("n_phrases"),
+        F.length(F.array_join("phrases", "")).cast("long").alias("n_chars"),
+        F.array_min("phrases").alias("first_phrase"),
+        F.array_max("phrases").alias("last_phrase"),
+    ).filter("n_phrases > 0")
 
 
 def skill_vocab_scan(spark, folder):
@@ -467,6 +485,21 @@ def stream_structured_skills(spark, folder):
     return spark.read.parquet(f"{_streamed(spark, folder)}/structured_skills").drop("batch")
 
 
+def stream_files_jobs(spark, folder):
+    """Files of two headings arriving in one folder; each batch reads its files by heading."""
+    base = work_path(spark, f"stream-{uuid.uuid4().hex}")
+    raw = views.postings(spark, folder)
+    even = F.col(ID).cast("long") % 2 == 0
+    sinks.write_table(raw.filter(even).coalesce(2), f"{base}/in")
+    other = raw.filter(~even).select(*reversed(raw.columns)).coalesce(2)
+    sinks.write_table(other, f"{base}/in", mode="append")
+    incremental.structure_stream(
+        incremental.stream_files(spark, f"{base}/in", 3), _lookup(spark, folder), f"{base}/out",
+        f"{base}/checkpoint",
+    ).awaitTermination()
+    return _epochs(spark.read.parquet(f"{base}/out/structured_jobs").drop("batch"))
+
+
 def stream_totals(spark, folder):
     return incremental.running_totals(spark, _streamed(spark, folder))
 
@@ -490,21 +523,26 @@ def _sent_again(spark, folder):
         incremental.structure_stream(
             views.postings_from(stream, part), lookup, f"{base}/out", f"{base}/checkpoint"
         ).awaitTermination()
-    return incremental.merged(spark, f"{base}/out")
+    return f"{base}/out"
 
 
 def stream_upsert_jobs(spark, folder):
-    return _epochs(_sent_again(spark, folder).jobs)
+    return _epochs(incremental.merged(spark, _sent_again(spark, folder)).jobs)
 
 
 def stream_upsert_counts(spark, folder):
     """Mappings per taxonomy skill over the last sendings."""
-    return report.top_skills(_sent_again(spark, folder).skills)
+    return report.top_skills(incremental.merged(spark, _sent_again(spark, folder)).skills)
+
+
+def stream_report(spark, folder):
+    """The report over the last sendings, from the sums that each batch stored."""
+    return _flat(incremental.running_report(spark, _sent_again(spark, folder)))
 
 
 ALL = [
-    scan_postings, scan_postings_csv, scan_taxonomy_csv, active_only, tri_bool, numeric_coerce,
-    timestamp_coerce, null_tokens, sample_limit, union_sources, bool_render, float_rounding,
+    scan_postings, scan_postings_csv, scan_postings_lines, scan_taxonomy_csv, active_only, tri_bool, numeric_coerce,
+    timestamp_coerce, null_tokens, sample_limit, sample_in_order, union_sources, bool_render, float_rounding,
     mask_pii, strip_html, tidy_layout, clean_text, clean_documents, clean_conversations,
     description_stats,
     extract_salary, extract_education, extract_experience, employment_flags, remote_flag,
@@ -516,7 +554,7 @@ ALL = [
     tfidf_corpus, tfidf_vocab, tfidf_vocab_capped, tfidf_index, skill_tfidf_match,
     skill_tfidf_top3, map_to_taxonomy,
     coverage, top_skills, quality_report, full_run,
-    stream_structured_jobs, stream_structured_skills, stream_totals,
-    stream_upsert_jobs, stream_upsert_counts,
+    stream_structured_jobs, stream_structured_skills, stream_files_jobs, stream_totals,
+    stream_upsert_jobs, stream_upsert_counts, stream_report,
 ]
 QUERIES = {query.__name__: query for query in ALL}

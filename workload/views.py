@@ -38,6 +38,11 @@ SELECT
 FROM orders JOIN part ON p_partkey = o_orderkey % (SELECT count(*) FROM part)
 """
 
+#: Line breaks of both kinds and quotes, as the end of a description.
+LINES = (
+    "concat(chr(10), '\"', {0}, '\", they said', chr(13), chr(10), chr(10), 'and \"left\", too')"
+)
+
 TAXONOMY = """
 SELECT
   CAST(p_partkey % 60 AS STRING) AS research_id,
