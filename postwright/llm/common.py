@@ -98,6 +98,25 @@ class WordIds:
         return np.array(out, dtype=np.uint64)
 
 
+class WordHashes(dict):
+    """The same hashes of words; those of a bounded number of words are remembered."""
+
+    def __init__(self, bound: int) -> None:
+        super().__init__()
+        self.bound = bound
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.bound:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 

@@ -7,8 +7,9 @@ same words also start somewhere in a document of smaller id.
    polynomial names the bucket).  Of equal windows within the stretch those of the smallest
    id are posted; the others are found already.  So however many documents share a passage,
    a stretch posts it once.
-2. Posts are packed per bucket and shuffled by it.  Spark sorts them by hash and id; a scan
-   of the sorted rows finds the windows whose first row has a smaller id.
+2. Posts are packed per bucket and shuffled by it; the number of buckets follows that of the
+   characters, so that a task can hold one.  There windows are sorted by hash and id, and those
+   whose first one has a smaller id are found.
 3. What was found goes back to its stretch, packed, where overlapping windows merge into
    maximal intervals of words.
 4. Documents with intervals are joined to them, by id and hash of the text; the words
@@ -27,33 +28,38 @@ one.  Extra columns, whatever their names, stay with ``deduplicate`` and are lef
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postwright.llm.common import WordIds, map_rows, mixed, small_side, stage, with_fields, words_of
+from postwright.llm.common import (
+    WordHashes, map_rows, mixed, small_side, stage, with_fields, words_of,
+)
 
 #: Words of a window.
 WINDOW = 50
 #: Windows, and documents, that a task holds at a time.
-STRETCH_WINDOWS = 1 << 20
+STRETCH_WINDOWS = 1 << 19
 STRETCH_DOCUMENTS = 60_000
+#: Characters of text whose windows go to one bucket, at most on average.
+BUCKET = 32 << 20
+#: Texts taken from a batch at a time.
+SLICE = 500
 #: Windows found that a task holds before it hands them on.
-HELD = 1 << 19
+HELD = 1 << 17
 
 #: Odd factors of the two polynomials.
 _FACTORS = (0x9E3779B97F4A7C13, 0xC2B2AE3D27D4EB4B)
 _LAST = np.iinfo(np.int64).max
 
 POSTS = "place int, bucket int, token bigint, n int, hashes binary, data binary"
-ROWS = "bucket int, hash bigint, doc bigint, token bigint, at bigint, data binary"
 FOUND = "token bigint, is_table boolean, data binary"
 
 
@@ -123,7 +129,7 @@ class Stretch:
     def __init__(self, buckets: int, limit: int = STRETCH_WINDOWS) -> None:
         self.buckets, self.limit = buckets, limit
         self.hash, self.deal = (RabinKarp(f) for f in _FACTORS)
-        self.ids = WordIds()
+        self.ids = WordHashes(100_000)
         self.clear()
 
     def clear(self) -> None:
@@ -131,7 +137,7 @@ class Stretch:
         self.windows = 0
 
     def add(self, doc: int | None, text_hash: int, text: str) -> None:
-        words = self.ids(words_of(text))
+        words = self.ids.of(words_of(text))
         hashes = self.hash(words)
         deals = (self.deal(words) % np.uint64(self.buckets)).astype(np.int32)
         if len(hashes):
@@ -229,56 +235,48 @@ def posted(source: DataFrame, buckets: int, limit: int = STRETCH_WINDOWS) -> Dat
 
     def rows(batches):
         stretch = Stretch(buckets, limit)
-        for batch in batches:
-            for doc, text_hash, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if text:
-                    stretch.add(doc, text_hash, text)
-                if stretch.full():
-                    yield from stretch.posts()
+        for doc, text_hash, text in (
+            row for batch in batches for k in range(0, batch.num_rows, SLICE)
+            for row in zip(*(c.to_pylist() for c in batch.slice(k, SLICE).columns), strict=True)
+        ):
+            if text:
+                stretch.add(doc, text_hash, text)
+            if stretch.full():
+                yield from stretch.posts()
         yield from stretch.posts()
 
     return source.mapInArrow(lambda batches: _arrow(rows(batches), target), schema)
 
 
-def unpacked(posts: DataFrame) -> DataFrame:
-    """One row per posted window; tables pass through, without a hash."""
-    schema, target = _fields(ROWS)
+def _unpacked(row: dict) -> tuple[np.ndarray, ...]:
+    """Hash, document, stretch and place in it, of each posted window of a row."""
+    n, data = row["n"], row["data"]
+    known = int.from_bytes(data[:4], "little")
+    doc, counts, ids, at = unpack(
+        data[4:], (known, "u2"), (known, "u4"), (known, "i8"), (n, "u4")
+    )
+    place = np.repeat(np.cumsum(doc, dtype=np.uint16).astype(np.int64) << 40, counts)
+    return (
+        np.frombuffer(row["hashes"], np.uint64), np.repeat(np.cumsum(ids), counts),
+        np.full(n, row["token"]), place | np.cumsum(at, dtype=np.uint32).astype(np.int64),
+    )
+
+
+def _later(bucket: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """Stretch and place of the windows of a bucket that a document of smaller id has too."""
+    hashes, doc, token, at = (np.concatenate(x) for x in zip(*bucket, strict=True))
+    order = np.lexsort((doc, hashes))
+    hashes, doc = hashes[order], doc[order]
+    new = np.r_[True, hashes[1:] != hashes[:-1]]
+    later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return token[order[later]], at[order[later]]
 
-    def run(batches):
-        for batch in batches:
-            tables = []
-            for row in batch.to_pylist():
-                token, n, data = row["token"], row["n"], row["data"]
-                if n is None:
-                    tables.append(row)
-                    continue
-                known = int.from_bytes(data[:4], "little")
-                doc, counts, ids, at = unpack(
-                    data[4:], (known, "u2"), (known, "u4"), (known, "i8"), (n, "u4")
-                )
-                doc = np.cumsum(doc, dtype=np.uint16).astype(np.int64)
-                at = np.cumsum(at, dtype=np.uint32).astype(np.int64)
-                place = np.repeat(doc << 40, counts) | at
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, row["bucket"], dtype=np.int32)),
-                        pa.array(np.frombuffer(row["hashes"], np.int64)),
-                        pa.array(np.repeat(np.cumsum(ids), counts)),
-                        pa.array(np.full(n, token)), pa.array(place),
-                        pa.nulls(n, pa.binary()),
-                    ],
-                    schema=target,
-                )
-            if tables:
-                yield pa.RecordBatch.from_pylist(
-                    [{"token": t["token"], "data": t["data"]} for t in tables], target
-                )
-
-    return posts.mapInArrow(run, schema)
-
-
-def scanned(ordered: DataFrame) -> DataFrame:
-    """Of rows sorted by window and id, those with a smaller id before them, packed per stretch."""
+
+def matched(posts: DataFrame) -> DataFrame:
+    """The windows with a smaller id before them, packed per stretch; tables pass through.
+
+    A task holds one bucket at a time.
+    """
     schema, target = _fields(FOUND)
 
     def hits(held: list[tuple]) -> Iterator[dict]:
@@ -287,39 +285,35 @@ def scanned(ordered: DataFrame) -> DataFrame:
         token, at = token[order], at[order]
         edges = np.r_[0, np.flatnonzero(np.diff(token)) + 1, len(token)]
         for low, high in zip(edges[:-1], edges[1:], strict=True):
-            doc = (at[low:high] >> 40).astype(np.uint16)
-            start = (at[low:high] & ((1 << 40) - 1)).astype(np.uint32)
-            yield {"token": int(token[low]), "is_table": False, "data": _hits(doc, start)}
+            if low < high:
+                doc = (at[low:high] >> 40).astype(np.uint16)
+                start = (at[low:high] & ((1 << 40) - 1)).astype(np.uint32)
+                yield {"token": int(token[low]), "is_table": False, "data": _hits(doc, start)}
 
     def rows(batches):
-        held, n, last, least = [], 0, None, 0
+        held, n, place, bucket = [], 0, None, []
         for batch in batches:
-            table = batch.column(1).is_null()
-            for row in batch.filter(table).select(["token", "data"]).to_pylist():
-                yield row | {"is_table": True}
-            batch = batch.filter(pc.invert(table))
-            if not batch.num_rows:
-                continue
-            bucket, hashes, doc, token, at = (
-                c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]
-            )
-            new = np.r_[True, (bucket[1:] != bucket[:-1]) | (hashes[1:] != hashes[:-1])]
-            starts = np.flatnonzero(new)
-            smallest = doc[starts]
-            if last == (bucket[0], hashes[0]):
-                smallest[0] = least
-            least, last = smallest[-1], (bucket[-1], hashes[-1])
-            found = doc > smallest[np.cumsum(new) - 1]
-            if found.any():
-                held.append((token[found], at[found]))
-                n += int(found.sum())
-            if n >= HELD:
-                yield from hits(held)
-                held, n = [], 0
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if row["n"] is None:
+                    yield {"token": row["token"], "is_table": True, "data": row["data"]}
+                    continue
+                if row["bucket"] != place:
+                    if bucket:
+                        held.append(_later(bucket))
+                        n += len(held[-1][0])
+                    place, bucket = row["bucket"], []
+                    if n >= HELD:
+                        yield from hits(held)
+                        held, n = [], 0
+                bucket.append(_unpacked(row))
+        if bucket:
+            held.append(_later(bucket))
         if held:
             yield from hits(held)
 
-    return ordered.mapInArrow(lambda batches: _arrow(rows(batches), target), schema)
+    dealt = posts.repartition("place").sortWithinPartitions("place")
+    return dealt.mapInArrow(lambda batches: _arrow(rows(batches), target), schema)
 
 
 def merged(found: DataFrame, key: str, kind: T.DataType) -> DataFrame:
@@ -373,13 +367,13 @@ def removals(
 
     ``limit`` is the number of windows that a task compares among themselves.
     """
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(parts, min(8 * parts, 4096))
     source = documents.select(
-        F.col(key).cast("bigint"), F.xxhash64(text), F.col(text).cast("string")
+        F.col(key).cast("bigint"), F.xxhash64(text), F.col(text).cast("string").alias("text")
     )
-    rows = unpacked(posted(source, buckets, limit).repartition("place"))
-    found = scanned(rows.sortWithinPartitions("bucket", "hash", "doc"))
+    size = source.agg(F.sum(F.length("text").cast("double")).alias("n")).first()["n"] or 0
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(8 * parts, math.ceil(size / BUCKET))
+    found = matched(posted(source, buckets, limit))
     return stage(merged(found, key, documents.schema[key].dataType), "removals")
 
 
