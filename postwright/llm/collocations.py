@@ -4,14 +4,14 @@ Texts are split into pieces at punctuation and line ends, and pieces into words;
 counted per language.  A phrase that occurs ``LEAST`` times is a candidate.  Its score is that
 of its weakest cut into two parts, twice its count over the counts of both parts.
 
-1. Words are counted; then pairs of words that occur often enough; then phrases of three and
-   four words all of whose pairs do.  No other phrase can be a candidate.  What occurs often
-   enough is known to the tasks as a filter of bits of a fixed greatest size, which lets some
-   others through but holds back none that counts.
-2. Each task counts in a trie of word ids, two levels deep, over hash containers; a container
-   that grows beyond a bound bursts into one for each next word.  When the trie is full, its
-   largest subtrees are handed on as sorted runs, whole, and Spark merges the runs of each
-   prefix partition (the first two words).
+1. All runs of one to four words are hashed to counters, whose number follows that of the words.
+   Tasks count a stretch of words at a time and hand their counters on packed; Spark sums them
+   up segment by segment.  What a counter that stays below ``LEAST`` stands for cannot be a
+   candidate or a part of one; the others are marked in bits.
+2. The runs that are marked are counted exactly, in a trie of word ids, two levels deep at most,
+   over hash containers; a container that grows beyond a bound bursts into one for each next
+   word.  When the trie is full, its largest subtrees are handed on as sorted runs, whole, and
+   Spark merges the runs of each prefix partition (the first two words).
 3. Parts and longer phrases are joined to the candidates by phrase.
 
 Cases: null and empty texts have no words; a null language is ``und``; repeated rows count
@@ -22,10 +22,15 @@ their names, are not read.
 
 from __future__ import annotations
 
+import math
+import zlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from postwright.llm.common import small_side, stage
+from postwright.llm.common import WordHashes, mixed, small_side, stage
 
 #: Most words of a phrase.
 LONGEST = 4
@@ -53,75 +58,193 @@ ENDS = ".,;:!?\n\x0b\x0c\r"
 #: Entries that a trie holds, and a container before it bursts.
 ENTRIES = 600_000
 BURST = 512
-#: Bits per member of a filter, and of a filter at most and at least.
-BITS_EACH = 16
-MAX_BITS = 1 << 27
-MIN_BITS = 1 << 16
+#: Counters of a segment, as a power of two.
+SEGMENT = 20
+#: Counters for each word of the texts, as a power of two, and at most and at least.  The marks
+#: that every task holds take a bit for each; beyond 2^30 counters they get fuller instead.
+COUNTERS_EACH = 2
+MAX_COUNTERS = 30
+MIN_COUNTERS = SEGMENT
 
 #: Bits of a word id in a packed key.
 _ID = 20
 _MASK = (1 << _ID) - 1
 _PIECES = bytes(0x0A if chr(x) in ENDS else x for x in range(256)).lower()
-_SEED = 42  # Spark's xxhash64 starts from it
-
-RUNS = "lang string, phrase string, n bigint"
-
-
-def pieces(text: str | None) -> Iterator[list[bytes]]:
-    """The words of each piece of a text, A-Z lower-cased."""
-    if text:
-        raw = text.encode("utf-8", "surrogatepass").translate(_PIECES)
-        for piece in raw.split(b"\n"):
-            words = piece.split()
-            if words:
-                yield words
-
-
-class Filter:
-    """Phrases that may occur often enough, as bits; the same hash as Spark's xxhash64(lang, phrase)."""
-
-    def __init__(self, data: bytes) -> None:
-        self.bytes = np.frombuffer(data, np.uint8)
-        self.bits = 8 * len(data)
-
-    def has(self, seed: int, phrase: bytes) -> bool:
-        value = xxhash.xxh64_intdigest(phrase, seed)
-        for at in (value % self.bits, (value >> 32) % self.bits):
-            if not self.bytes[at >> 3] >> (at & 7) & 1:
-                return False
-        return True
-
-
-def seed_of(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), _SEED)
-
-
-def filter_of(phrases: DataFrame) -> bytes:
-    """The filter of a staged table of (lang, phrase); at most MAX_BITS, whatever the table's size."""
-    wanted = BITS_EACH * phrases.count()
-    bits = MIN_BITS
-    while bits < min(wanted, MAX_BITS):
-        bits *= 2
-    value = F.xxhash64("lang", "phrase")
-    # bits is a power of two, so the remainder of the unsigned value is a mask
-    low = value.bitwiseAND(F.lit(bits - 1))
-    high = F.shiftrightunsigned(value, 32).bitwiseAND(F.lit(bits - 1))
-    at = phrases.select(F.explode(F.array(low, high)).alias("at")).select(F.col("at") + 1)
-    at = at.toDF("at")
-    parts = at.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")
-    )
-    out = bytearray(bits // 8)
-    for row in parts.collect():  # at most MAX_BITS / 32,768 rows of 4 KB
-        low = (row["part"] - 1) * 4096
-        out[low : low + 4096] = row["bits"]
+
+#: Stands between pieces; no byte of UTF-8.
+STOP = b"\xff"
+#: Bytes of one language that a task looks at together.
+STRETCH = 3 << 20
+
+#: A packed sorted run.
+RUNS = "place int, lang string, n int, data binary"
+
+
+def marked_text(text: str | None) -> bytes:
+    """A text in UTF-8, A-Z lower-cased, with the word ``STOP`` wherever a piece ends, and at its end."""
+    raw = (text or "").encode("utf-8", "surrogatepass").translate(_PIECES)
+    return raw.replace(b"\n", b" " + STOP + b" ") + b" " + STOP
+
+
+def seed_of(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), 1))
+
+
+def run_hashes(words: np.ndarray, stops: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For one to LONGEST words: hashes of the runs that start at each word, and which are in a piece.
+
+    ``words`` are hashes of the words of a language, ``stops`` where a piece ends.
+    """
+    hashes, whole = np.zeros(len(words), dtype=np.uint64), np.ones(len(words), dtype=bool)
+    for size in range(LONGEST):
+        n = len(words) - size
+        if n < 1:
+            return
+        hashes = mixed(hashes[:n] ^ words[size:])
+        whole = whole[:n] & ~stops[size:]
+        yield hashes, whole
+
+
+@dataclass(frozen=True)
+class Stretch:
+    """Words in order, as numbers of different words, the hashes of these, and where a piece ends."""
+
+    different: list[bytes]
+    at: np.ndarray
+    hashes: np.ndarray
+    stops: np.ndarray
+
+
+class Stretches:
+    """The texts of a task by language, looked at some at a time."""
+
+    def __init__(self) -> None:
+        self.hash_of = WordHashes(200_000)
+        self.waiting: dict[str, list[bytes]] = {}
+        self.sizes: Counter = Counter()
+
+    def add(self, lang: str, text: bytes) -> bool:
+        """Whether there are enough to be looked at."""
+        self.waiting.setdefault(lang, []).append(text)
+        self.sizes[lang] += len(text)
+        return self.sizes[lang] >= STRETCH
+
+    def take(self, lang: str) -> Stretch:
+        del self.sizes[lang]
+        # the bytes are not looked at as characters, so STOP may be among them
+        texts = pa.array(self.waiting.pop(lang), pa.binary()).view(pa.string())
+        words = pc.ascii_split_whitespace(texts).flatten().view(pa.binary())
+        words = words.filter(pc.greater(pc.binary_length(words), 0)).dictionary_encode()
+        different = words.dictionary.to_pylist()
+        at = words.indices.to_numpy()
+        is_stop = np.fromiter((w == STOP for w in different), dtype=bool, count=len(different))
+        hashes = self.hash_of.of(different) ^ seed_of(lang)
+        return Stretch(different, at, hashes, is_stop[at])
+
+
+def _packed(counters: np.ndarray, power: int) -> Iterator[dict]:
+    """The counters hit by a stretch, and how often, segment by segment."""
+    at, times = np.unique(counters, return_counts=True)
+    times = np.minimum(times, LEAST).astype(np.uint8)
+    segment = at >> SEGMENT
+    edges = np.r_[0, np.flatnonzero(np.diff(segment)) + 1, len(at)]
+    low = at & np.uint32((1 << SEGMENT) - 1)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if a < b:
+            steps = np.diff(low[a:b], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T
+            data = zlib.compress(steps.tobytes() + times[a:b].tobytes(), 1)
+            yield {"segment": int(segment[a]), "n": b - a, "data": data}
+
+
+def sketched(source: DataFrame, power: int) -> DataFrame:
+    """Packed counters of all runs of one to LONGEST words, by segment."""
+    schema = T.StructType.fromDDL("segment int, n int, data binary")
+    target = to_arrow_schema(schema)
+
+    def counted(stretches: Stretches, lang: str) -> Iterator[dict]:
+        found = stretches.take(lang)
+        shift = np.uint64(64 - power)
+        hit = [
+            (h[whole] >> shift).astype(np.uint32)
+            for h, whole in run_hashes(found.hashes[found.at], found.stops)
+        ]
+        yield from _packed(np.concatenate(hit), power)
+
+    def rows(batches):
+        stretches = Stretches()
+        for lang, text in _texts(batches):
+            if stretches.add(lang, marked_text(text)):
+                yield from counted(stretches, lang)
+        for lang in list(stretches.waiting):
+            yield from counted(stretches, lang)
+
+    return source.mapInArrow(lambda batches: _arrow(rows(batches), target), schema)
+
+
+def marked(sketch: DataFrame) -> DataFrame:
+    """(segment, bits): the counters of each segment that reach LEAST."""
+    schema = T.StructType.fromDDL("segment int, bits binary")
+    target = to_arrow_schema(schema)
+
+    def run(batches):
+        open_segment, totals = None, np.zeros(1 << SEGMENT, dtype=np.uint8)
+
+        def out():
+            bits = np.packbits(totals >= LEAST, bitorder="little").tobytes()
+            totals[:] = 0
+            return pa.RecordBatch.from_pylist([{"segment": open_segment, "bits": bits}], target)
+
+        for batch in batches:
+            for segment, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if segment != open_segment:
+                    if open_segment is not None:
+                        yield out()
+                    open_segment = segment
+                raw = np.frombuffer(zlib.decompress(data), np.uint8)
+                steps = np.ascontiguousarray(raw[: 4 * n].reshape(4, n).T).view(np.uint32).ravel()
+                at = np.cumsum(steps, dtype=np.uint32)
+                # each place once, and both sides at most LEAST
+                totals[at] = np.minimum(totals[at] + raw[4 * n :], LEAST)
+        if open_segment is not None:
+            yield out()
+
+    dealt = sketch.repartition("segment").sortWithinPartitions("segment")
+    return dealt.mapInArrow(run, schema)
+
+
+def marks(source: DataFrame, power: int) -> bytes:
+    """A bit for each counter: whether it reaches LEAST; 2^MAX_COUNTERS bits at most."""
+    width = 1 << SEGMENT - 3
+    out = bytearray((1 << power) // 8)
+    for row in stage(marked(sketched(source, power)), "marks").toLocalIterator():
+        out[row["segment"] * width : (row["segment"] + 1) * width] = row["bits"]
     return bytes(out)
 
 
+def counters_for(source: DataFrame) -> int:
+    """The power of two of the counters' number: some for each word, which has six letters or so."""
+    letters = source.agg(F.sum(F.length("text").cast("double")).alias("n")).first()["n"] or 0
+    wanted = COUNTERS_EACH * letters / 6
+    return min(MAX_COUNTERS, max(MIN_COUNTERS, math.ceil(math.log2(wanted + 1))))
+
+
 class Inner(dict):
     """A node that has burst: containers by next word id."""
 
 
+class Numbers(dict):
+    """Ids of words, from 1, given as they come."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.words: list[bytes] = [b""]
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.words)
+        self.words.append(word)
+        return number
+
+
 class HatTrie:
     """Counts of sequences of word ids, under a first word each.
 
@@ -135,22 +258,15 @@ class HatTrie:
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[bytes, int] = {}
-        self.words: list[bytes] = [b""]
+        self.ids = Numbers()
+        self.words = self.ids.words
         self.tops: dict[str, dict[int, dict]] = {}
         self.entries = 0
 
-    def id_of(self, word: bytes) -> int:
-        found = self.ids.get(word)
-        if found is None:
-            found = self.ids[word] = len(self.words)
-            self.words.append(word)
-        return found
-
     def crowded(self) -> bool:
-        return len(self.words) >= _MASK - 1
+        return len(self.words) >= _MASK // 2
 
-    def add(self, top: dict, first: int, rest: int) -> None:
+    def add(self, top: dict, first: int, rest: int, times: int = 1) -> None:
         node = top.get(first)
         if node is None:
             node = top[first] = {}
@@ -164,24 +280,15 @@ class HatTrie:
             first = 0
         n = node.get(rest)
         if n is not None:
-            node[rest] = n + 1
+            node[rest] = n + times
             return
-        node[rest] = 1
+        node[rest] = times
         self.entries += 1
         if first and len(node) > BURST:
             inner = top[first] = Inner()
             for key, count in node.items():
                 inner.setdefault(key & _MASK, {})[key >> _ID] = count
 
-    @staticmethod
-    def _rests(node: dict) -> Iterator[tuple[int, int]]:
-        if type(node) is Inner:
-            for second, under in node.items():
-                for rest, n in under.items():
-                    yield rest << _ID | second, n
-        else:
-            yield from node.items()
-
     @staticmethod
     def _size(node: dict) -> int:
         return sum(map(len, node.values())) if type(node) is Inner else len(node)
@@ -193,13 +300,24 @@ class HatTrie:
             rest >>= _ID
         return b" ".join(words)
 
-    def run(self, lang: str, first: int) -> list[tuple[str, bytes, int]]:
+    def run(self, lang: str, first: int) -> tuple[str, list[tuple[bytes, int]]]:
         """A subtree as a sorted run; it leaves the trie."""
         node = self.tops[lang].pop(first)
         self.entries -= self._size(node)
-        return sorted((lang, self._phrase(first, rest), n) for rest, n in self._rests(node))
-
-    def spill(self, share: float = 0.5) -> Iterator[list[tuple[str, bytes, int]]]:
+        rows = []
+        if type(node) is Inner:
+            for second, under in node.items():
+                rows += [(self._phrase(first, rest << _ID | second), n) for rest, n in under.items()]
+        else:
+            start, words = self.words[first] + b" ", self.words
+            rows += [
+                (start + words[rest] if 0 < rest <= _MASK else self._phrase(first, rest), n)
+                for rest, n in node.items()
+            ]
+        rows.sort()
+        return lang, rows
+
+    def spill(self, share: float = 0.5) -> Iterator[tuple[str, list[tuple[bytes, int]]]]:
         """The largest subtrees as sorted runs, until this share of the entries has left."""
         left = self.entries * (1 - share)
         subtrees = sorted(
@@ -213,24 +331,38 @@ class HatTrie:
             yield self.run(lang, first)
 
 
-def _batches(runs: Iterator[list[tuple]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
+def _place(lang: str, phrase: bytes, places: int) -> int:
+    """The prefix partition of a phrase: by its language and first two words."""
+    prefix = b" ".join(phrase.split(b" ", 2)[:2])
+    return xxhash.xxh3_64_intdigest(prefix, hash_seed(lang)) % places
 
-    def batch(rows):
-        lang, phrase, n = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()),
-             pa.array(n, pa.int64())],
-            schema=schema,
-        )
 
-    for run in runs:
-        held += run
-        while len(held) >= 10_000:
-            yield batch(held[:10_000])
-            held = held[10_000:]
+def hash_seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"), 2)
+
+
+def _dealt(runs: Iterator[tuple[str, list[tuple[bytes, int]]]], places: int) -> Iterator[dict]:
+    """Sorted runs, one for each prefix partition and language, packed."""
+    dealt: dict[tuple[int, str], list[tuple[bytes, int]]] = {}
+    for lang, rows in runs:
+        for row in rows:
+            dealt.setdefault((_place(lang, row[0], places), lang), []).append(row)
+    for (place, lang), rows in dealt.items():
+        rows.sort()
+        phrases, counts = zip(*rows, strict=True)
+        data = np.array(counts, dtype=np.int64).tobytes() + b"\n".join(phrases)
+        yield {"place": place, "lang": lang, "n": len(rows), "data": zlib.compress(data, 1)}
+
+
+def _arrow(rows: Iterator[dict], schema: pa.Schema, size: int = 1000) -> Iterator[pa.RecordBatch]:
+    held: list[dict] = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held = []
     if held:
-        yield batch(held)
+        yield pa.RecordBatch.from_pylist(held, schema)
 
 
 def _texts(batches) -> Iterator[tuple[str, str | None]]:
@@ -238,136 +370,126 @@ def _texts(batches) -> Iterator[tuple[str, str | None]]:
         yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
-def counted_words(source: DataFrame, entries: int = ENTRIES) -> DataFrame:
-    """Sorted runs of word counts, and one of all words of a language without a phrase."""
+def counted_phrases(
+    source: DataFrame, bits: bytes, power: int, entries: int = ENTRIES, places: int = 64
+) -> DataFrame:
+    """Sorted runs of the exact counts of all marked runs of words; those of an empty phrase count all."""
+    known = source.sparkSession.sparkContext.broadcast(bits)
     schema = T.StructType.fromDDL(RUNS)
     target = to_arrow_schema(schema)
 
-    def runs(batches):
-        held: dict[str, dict[bytes, int]] = {}
-        n = 0
+    def rows(batches):
+        trie = HatTrie(entries)
+        stretches = Stretches()
+        shift, mark = np.uint64(64 - power), np.frombuffer(known.value, np.uint8)
+        totals: Counter = Counter()
+
+        def is_marked(hashes: np.ndarray) -> np.ndarray:
+            at = (hashes >> shift).astype(np.int64)
+            return (mark[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
-        def out():
-            for lang, counts in held.items():
-                yield [(lang, None, sum(counts.values()))]
-                yield sorted((lang, word, c) for word, c in counts.items())
+        def count(lang: str) -> None:
+            found = stretches.take(lang)
+            totals[lang] += int((~found.stops).sum())
+            top = trie.tops.setdefault(lang, {})
+            hashes = found.hashes[found.at]
+            (single, _), *_ = run_hashes(found.hashes, np.zeros(len(found.hashes), dtype=bool))
+            ids = np.fromiter(
+                (trie.ids[w] if good else 0
+                 for w, good in zip(found.different, is_marked(single).tolist(), strict=True)),
+                dtype=np.int64, count=len(single),
+            )
+            run = np.zeros(len(hashes) + LONGEST, dtype=np.int64)
+            run[: len(hashes)] = np.where(found.stops, 0, ids[found.at])
+            for size, (h, whole) in enumerate(run_hashes(hashes, found.stops), 1):
+                start = np.flatnonzero(whole & is_marked(h))
+                # a run with a word that is not marked does not occur often enough
+                parts = [run[start + k] for k in range(size)]
+                good = np.logical_and.reduce([x > 0 for x in parts])
+                first, rest = parts[0][good], np.zeros(int(good.sum()), dtype=np.int64)
+                for k in range(1, size):
+                    rest |= parts[k][good] << _ID * (k - 1)
+                if size < 4:
+                    both, times = np.unique(first | rest << _ID, return_counts=True)
+                    first, rest = both & _MASK, both >> _ID
+                    each = zip(first.tolist(), rest.tolist(), times.tolist(), strict=True)
+                    for a, b, n in each:
+                        trie.add(top, a, b, n)
+                else:
+                    for a, b in zip(first.tolist(), rest.tolist(), strict=True):
+                        trie.add(top, a, b)
 
         for lang, text in _texts(batches):
-            counts = held.setdefault(lang, {})
-            n -= len(counts)
-            for words in pieces(text):
-                for word in words:
-                    counts[word] = counts.get(word, 0) + 1
-            n += len(counts)
-            if n >= entries:
-                yield from out()
-                held, n = {}, 0
-        yield from out()
+            if not stretches.add(lang, marked_text(text)):
+                continue
+            count(lang)
+            if trie.entries >= trie.limit:
+                yield from _dealt(trie.spill(), places)
+            if trie.crowded():
+                yield from _dealt(trie.spill(1.0), places)
+                trie.clear()
+        for lang in list(stretches.waiting):
+            count(lang)
+            if trie.crowded():
+                yield from _dealt(trie.spill(1.0), places)
+                trie.clear()
+        yield from _dealt(trie.spill(1.0), places)
+        yield from _dealt(((lang, [(b"", n)]) for lang, n in totals.items()), places)
 
-    return source.mapInArrow(lambda batches: _batches(runs(batches), target), schema)
+    return source.mapInArrow(lambda batches: _arrow(rows(batches), target), schema)
 
 
-def counted_phrases(
-    source: DataFrame, sizes: tuple[int, ...], words: bytes, pairs: bytes | None = None,
-    entries: int = ENTRIES,
-) -> DataFrame:
-    """Sorted runs of phrase counts of these sizes.
+def merged(runs: DataFrame) -> DataFrame:
+    """The runs of each prefix partition merged: (lang, phrase, f) of what occurs often enough.
 
-    All words of a phrase pass the first filter and all its pairs of neighbours
-    the second one, where there is one.
+    The phrase is null where f counts all words.  A partition at a time is held,
+    each of its phrases once.
     """
-    context = source.sparkSession.sparkContext
-    known = context.broadcast(words)
-    known_pairs = None if pairs is None else context.broadcast(pairs)
-    schema = T.StructType.fromDDL(RUNS)
+    schema = T.StructType.fromDDL("lang string, phrase string, f bigint")
     target = to_arrow_schema(schema)
-    least, most = min(sizes), max(sizes)
 
-    def runs(batches):
-        trie = HatTrie(entries)
-        word_filter = Filter(known.value)
-        pair_filter = None if known_pairs is None else Filter(known_pairs.value)
-        seeds: dict[str, int] = {}
-        ids: dict[str, dict[bytes, int]] = {}
-        joined: dict[str, dict[int, bool]] = {}
-        add = trie.add
-        for lang, text in _texts(batches):
-            if lang not in ids:
-                seeds[lang] = seed_of(lang)
-                ids[lang], joined[lang] = {}, {}
-            seed, own, paired = seeds[lang], ids[lang], joined[lang]
-            top = trie.tops.setdefault(lang, {})
-            for piece in pieces(text):
-                if len(piece) < least:
-                    continue
-                run = []  # ids; 0 for a word that does not occur often enough
-                for word in piece:
-                    found = own.get(word)
-                    if found is None:
-                        found = trie.id_of(word) if word_filter.has(seed, word) else 0
-                        own[word] = found
-                    run.append(found)
-                if pair_filter is None:
-                    for a, b in zip(run, run[1:]):
-                        if a and b:
-                            add(top, a, b)
-                    continue
-                length = 1  # words up to here that stand together by pairs
-                for k in range(1, len(run)):
-                    a, b = run[k - 1], run[k]
-                    together = False
-                    if a and b:
-                        pair = a << _ID | b
-                        together = paired.get(pair)
-                        if together is None:
-                            phrase = trie.words[a] + b" " + trie.words[b]
-                            together = paired[pair] = pair_filter.has(seed, phrase)
-                    length = length + 1 if together else 1
-                    for size in range(least, min(length, most) + 1):
-                        rest = 0
-                        for word in reversed(run[k - size + 2 : k + 1]):
-                            rest = rest << _ID | word
-                        add(top, run[k - size + 1], rest)
-            if trie.entries >= trie.limit:
-                yield from trie.spill()
-            held = sum(map(len, ids.values())) + sum(map(len, joined.values()))
-            if trie.crowded() or held >= 2 * entries:
-                yield from trie.spill(1.0)
-                trie.clear()
-                ids, joined = {}, {}
-        yield from trie.spill(1.0)
-
-    return source.mapInArrow(lambda batches: _batches(runs(batches), target), schema)
+    def rows(batches):
+        place, counts = None, Counter()
 
+        def out():
+            for phrase, n in counts.items():
+                if n >= LEAST or not phrase:
+                    text = phrase.decode("utf-8", "surrogatepass") if phrase else None
+                    yield {"lang": place[1], "phrase": text, "f": n}
+
+        for batch in batches:
+            for *at, n, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != place:
+                    yield from out()
+                    place, counts = at, Counter()
+                raw = zlib.decompress(data)
+                times = np.frombuffer(raw, np.int64, n).tolist()
+                for phrase, k in zip(raw[8 * n :].split(b"\n"), times, strict=True):
+                    counts[phrase] += k
+        yield from out()
 
-def merged(runs: DataFrame, *prefix: str) -> DataFrame:
-    """The runs summed up in the partitions of their prefix; phrases that occur often enough."""
-    dealt = runs.repartition("lang", *prefix)
-    total = dealt.groupBy(*dict.fromkeys(["lang", *prefix, "phrase"])).agg(F.sum("n").alias("f"))
-    return total.drop("prefix").filter((F.col("f") >= LEAST) | F.col("phrase").isNull())
+    dealt = runs.repartition("place").sortWithinPartitions("place", "lang")
+    return dealt.mapInArrow(lambda batches: _arrow(rows(batches), target, 10_000), schema)
 
 
 def frequent(
-    documents: DataFrame, text: str = "text", lang: str = "lang", entries: int = ENTRIES
+    documents: DataFrame, text: str = "text", lang: str = "lang", entries: int = ENTRIES,
+    power: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, f) of all phrases of up to LONGEST words that occur LEAST times, staged; (lang, n)."""
+    """(lang, phrase, f) of all phrases of up to LONGEST words that occur LEAST times, staged; (lang, n).
+
+    ``power`` is that of the number of counters.
+    """
     source = documents.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.col(text).cast("string").alias("text"),
     )
-    words = stage(merged(counted_words(source, entries), "phrase"), "words")
-    single = words.filter("phrase is not null")
-    word_filter = filter_of(single)
-    # a pair is its own prefix
-    pairs = stage(
-        merged(counted_phrases(source, (2,), word_filter, entries=entries), "phrase"), "pairs"
-    )
-    longer = counted_phrases(
-        source, tuple(range(3, LONGEST + 1)), word_filter, filter_of(pairs), entries
-    ).withColumn("prefix", F.substring_index("phrase", " ", 2))
-    rest = stage(merged(longer, "prefix"), "longer")
-    totals = words.filter("phrase is null").select("lang", F.col("f").alias("n"))
-    return single.unionByName(pairs).unionByName(rest), totals
+    power = power or counters_for(source)
+    places = 8 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = counted_phrases(source, marks(source, power), power, entries, places)
+    counted = stage(merged(runs), "phrases")
+    totals = counted.filter("phrase is null").select("lang", F.col("f").alias("n"))
+    return counted.filter("phrase is not null"), totals
 
 
 def _exact(column: Column) -> Column:
@@ -412,10 +534,10 @@ def inside_longer(phrases: DataFrame) -> DataFrame:
 
 def mine(
     documents: DataFrame, text: str = "text", lang: str = "lang", top: int = TOP,
-    entries: int = ENTRIES,
+    **limits,
 ) -> DataFrame:
     """The ``top`` phrases of each language: rank, phrase, its counts and score."""
-    phrases, totals = frequent(documents, text, lang, entries)
+    phrases, totals = frequent(documents, text, lang, **limits)
     around = small_side(inside_longer(phrases), F.length("phrase") + 40)
     kept = scored(phrases).join(around, ["lang", "phrase"], "left").filter(
         F.col("around").isNull()
