@@ -62,3 +62,26 @@ def finished(spark: SparkSession, path: str) -> list[str]:
 def exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def write_small(spark: SparkSession, folder: str, text: str) -> None:
+    """A folder of one small text and, once that is whole, the mark of a finished table; no job."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    place = path_of(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name, data in (("text", text.encode()), ("_SUCCESS", b"")):
+        stream = system.create(path_of(place, name), True)
+        try:
+            stream.write(bytearray(data))
+        finally:
+            stream.close()
+
+
+def read_small(spark: SparkSession, folder: str) -> str:
+    """What ``write_small`` has written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder, "text")
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -422,6 +422,14 @@ LINED = SCANNED.replace(") AS description", f") || {views.LINES.format('p_name')
 
 CLEAN_TAXONOMY = f"WITH {TAX} SELECT * FROM tax"
 
+LOOSE = LONG.replace(
+    "CAST(o_orderkey AS STRING) AS system_job_id",
+    f"{views.LOOSE_IDS.format('CAST(o_orderkey AS STRING)')} AS system_job_id",
+)
+LOOSE_COLUMNS = SKILL_COLUMNS.replace(
+    "system_job_id", "coalesce(system_job_id, 'nan') AS system_job_id"
+)
+
 ORACLES = {
     "scan_postings": SCANNED,
     "scan_postings_csv": SCANNED,
@@ -498,6 +506,7 @@ ORACLES = {
     "coalesce(top_3_skills, '') AS top_3_skills FROM typed "
     "LEFT JOIN summary USING (system_job_id)",
     "structured_skills": f"WITH {LONG} SELECT {SKILL_COLUMNS} FROM long",
+    "ids_padded_or_missing": f"WITH {LOOSE} SELECT {LOOSE_COLUMNS} FROM long",
     "structured_jobs": f"WITH {WHOLE} {JOBS}",
     "tfidf_corpus": f"WITH {TAX}, {DOCS} SELECT taxonomy_skill, correlation, text FROM docs",
     "tfidf_vocab": f"WITH {DOC_TERMS}, {vocab()} SELECT term, frequency, df, "

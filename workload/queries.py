@@ -361,6 +361,14 @@ def structured_skills(spark, folder):
     return sinks.format_skills(_long(spark, folder))
 
 
+def ids_padded_or_missing(spark, folder):
+    """Skills of postings a third of whose ids are padded and one of which has none."""
+    raw = views.postings(spark, folder)
+    prepared = postings.prepare_postings(raw.withColumn(ID, F.expr(views.LOOSE_IDS.format(ID))))
+    cleaned = postings.clean_postings(prepared)
+    return sinks.format_skills(skills.map_postings(cleaned, _lookup(spark, folder)))
+
+
 def structured_jobs(spark, folder):
     return sinks.format_jobs(_epochs(_structured(spark, folder).jobs))
 
@@ -470,7 +478,7 @@ def _streamed(spark, folder):
     )
     raw = views.postings_from(orders, views.table(spark, folder, "part"))
     query = incremental.structure_stream(
-        raw, _lookup(spark, folder), f"{base}/out", f"{base}/checkpoint"
+        raw, _lookup(spark, folder), f"{base}/out", f"{base}/checkpoint", buckets=8
     )
     query.awaitTermination()
     return f"{base}/out"
@@ -495,7 +503,7 @@ def stream_files_jobs(spark, folder):
     sinks.write_table(other, f"{base}/in", mode="append")
     incremental.structure_stream(
         incremental.stream_files(spark, f"{base}/in", 3), _lookup(spark, folder), f"{base}/out",
-        f"{base}/checkpoint",
+        f"{base}/checkpoint", buckets=8,
     ).awaitTermination()
     return _epochs(spark.read.parquet(f"{base}/out/structured_jobs").drop("batch"))
 
@@ -521,7 +529,7 @@ def _sent_again(spark, folder):
         sending.write.mode("append").parquet(f"{base}/in")
         stream = spark.readStream.schema(orders.schema).parquet(f"{base}/in")
         incremental.structure_stream(
-            views.postings_from(stream, part), lookup, f"{base}/out", f"{base}/checkpoint"
+            views.postings_from(stream, part), lookup, f"{base}/out", f"{base}/checkpoint", buckets=8
         ).awaitTermination()
     return f"{base}/out"
 
@@ -550,7 +558,7 @@ ALL = [
     taxonomy_clean, taxonomy_stats, taxonomy_lookup, unknown_sources,
     skill_tokens, skill_ngrams, skill_vocab_scan, skill_candidates_union, skill_exact_match,
     skill_residual, skill_map_dedup, skill_topk, skill_count, top3_skills, structured_skills,
-    structured_jobs,
+    ids_padded_or_missing, structured_jobs,
     tfidf_corpus, tfidf_vocab, tfidf_vocab_capped, tfidf_index, skill_tfidf_match,
     skill_tfidf_top3, map_to_taxonomy,
     coverage, top_skills, quality_report, full_run,

@@ -43,6 +43,12 @@ LINES = (
     "concat(chr(10), '\"', {0}, '\", they said', chr(13), chr(10), chr(10), 'and \"left\", too')"
 )
 
+#: Ids with blanks around every third one, and one missing.
+LOOSE_IDS = (
+    "CASE WHEN CAST({0} AS BIGINT) = 7 THEN NULL "
+    "WHEN CAST({0} AS BIGINT) % 3 = 0 THEN concat('  ', {0}, ' ') ELSE {0} END"
+)
+
 TAXONOMY = """
 SELECT
   CAST(p_partkey % 60 AS STRING) AS research_id,
