@@ -48,8 +48,6 @@ MAX_REPEATED = 20
 WINDOW = 5
 #: A frequent line stands in this many documents of its host at least.
 MIN_DOCUMENTS = 10
-#: Further limit of the SQL: share of the rows of a host.
-MIN_SHARE = 0.02
 #: Share of words that must stand outside frequent lines.
 MIN_LEFT = 0.3
 

@@ -18,17 +18,12 @@ def normal(line):
 
 
 def frequent_lines(docs):
-    held, size = defaultdict(set), Counter(d["source"] for d in docs)
+    held = defaultdict(set)
     for d in docs:
-        lines = [x for x in map(normal, (d["text"] or "").split("\n")) if x]
-        for k, line in enumerate(lines):
-            around = (lines[k - 1] if k else None, lines[k + 1] if k + 1 < len(lines) else None)
-            held[d["source"], line].add(around)
-    return {
-        key for key, found in held.items()
-        if len(found) >= line_rules.MIN_DOCUMENTS
-        and len(found) >= line_rules.MIN_SHARE * size[key[0]]
-    }
+        lines = tuple(x for x in map(normal, (d["text"] or "").split("\n")) if x)
+        for line in lines:
+            held[d["source"], line].add(lines)  # copies have the same lines
+    return {key for key, found in held.items() if len(found) >= line_rules.MIN_DOCUMENTS}
 
 
 def by_rules(docs):
