@@ -30,8 +30,10 @@ before the exchange.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +49,6 @@ PIVOTS = 3
 #: Share of the aligned pages in which a template node has the same text, and their least number.
 MIN_SAME = 0.8
 MIN_PAGES = 4
-#: Cells of one table of the alignment; longer child lists are aligned in order without one.
-MAX_CELLS = 40_000
 
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -347,80 +347,93 @@ def match(a: Tree, b: Tree) -> list[tuple[int, int]]:
     """Pairs of nodes of a largest alignment of two trees that keeps order and parents.
 
     The recursion of simple tree matching: the value of two nodes with equal
-    tags is 1 plus the best sum over their child lists in order.  Subtrees of
-    equal shape are aligned node by node without a table.
+    tags is 1 plus the best sum over their child lists in order.  Value and
+    alignment follow from the shapes, so each pair of shapes is aligned once,
+    however many nodes have them.  Equal shapes are aligned node by node without
+    a table.
     """
     if not len(a.tags) or not len(b.tags) or a.tags[0] != b.tags[0]:
         return []
     seen: dict = {}
     shape_a, shape_b = a.shapes(seen), b.shapes(seen)
-    size_a = _sizes(a)
+    size_a, tags_a, tags_b = _sizes(a), a.tags.tolist(), b.tags.tolist()
     values: dict[tuple[int, int], int] = {}
     choices: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    tags_a, tags_b = a.tags.tolist(), b.tags.tolist()
 
-    def value(x: int, y: int) -> int:
-        if shape_a[x] == shape_b[y]:
-            return size_a[x]
-        return values.get((x, y), 0)
-
-    # children before parents: pairs that can be reached from the roots, deepest last
-    order, todo, known = [], [(0, 0)], {(0, 0)}
+    # pairs of different shapes that can be reached from the roots, by nodes that have them
+    pairs, todo = {}, [(0, 0)]
     while todo:
         x, y = todo.pop()
-        if shape_a[x] == shape_b[y]:
-            continue
-        order.append((x, y))
-        left, right = a.children[x], b.children[y]
-        if len(left) * len(right) > MAX_CELLS:
-            pairs = _in_order(left, right, tags_a, tags_b)
-        else:
-            pairs = [(p, q) for p in left for q in right if tags_a[p] == tags_b[q]]
-        for pair in pairs:
-            if pair not in known:
-                known.add(pair)
-                todo.append(pair)
-    for x, y in sorted(order, reverse=True):
-        left, right = a.children[x], b.children[y]
-        if len(left) * len(right) > MAX_CELLS:
-            chosen = _in_order(left, right, tags_a, tags_b)
-            values[x, y] = 1 + sum(value(p, q) for p, q in chosen)
-            choices[x, y] = chosen
+        shapes = shape_a[x], shape_b[y]
+        if shapes[0] == shapes[1] or shapes in pairs:
             continue
-        rows = [[0] * (len(right) + 1)]
-        for p in left:
-            above, row = rows[-1], [0]
-            tag = tags_a[p]
-            for k, q in enumerate(right):
-                best = above[k + 1] if above[k + 1] >= row[k] else row[k]
-                if tag == tags_b[q]:
-                    with_pair = above[k] + value(p, q)
-                    if with_pair > best:
-                        best = with_pair
-                row.append(best)
-            rows.append(row)
-        values[x, y] = 1 + rows[-1][-1]
-        chosen, i, k = [], len(left), len(right)
-        while i and k:
-            if rows[i][k] == rows[i - 1][k]:
-                i -= 1
-            elif rows[i][k] == rows[i][k - 1]:
-                k -= 1
-            else:
-                i, k = i - 1, k - 1
-                chosen.append((left[i], right[k]))
-        choices[x, y] = chosen
+        pairs[shapes] = x, y
+        left = {shape_a[p]: p for p in a.children[x]}.values()
+        right = {shape_b[q]: q for q in b.children[y]}.values()
+        todo.extend((p, q) for p in left for q in right if tags_a[p] == tags_b[q])
+    # children before parents
+    for shapes, (x, y) in sorted(pairs.items(), key=lambda pair: size_a[pair[1][0]]):
+        left, right = [shape_a[p] for p in a.children[x]], [shape_b[q] for q in b.children[y]]
+        sizes = {shape_a[p]: size_a[p] for p in a.children[x]}
+
+        @lru_cache(maxsize=256)
+        def gains(of: int, sizes: dict = sizes, right: list = right) -> np.ndarray:
+            return np.array([sizes[of] if of == q else values.get((of, q), 0) for q in right])
+
+        best, choices[shapes] = aligned(lambda i: gains(left[i]), len(left), len(right))  # noqa: B023
+        values[shapes] = 1 + best
     out, todo = [], [(0, 0)]
     while todo:
         x, y = todo.pop()
         out.append((x, y))
+        left, right = a.children[x], b.children[y]
         if shape_a[x] == shape_b[y]:
-            todo.extend(zip(a.children[x], b.children[y], strict=True))
+            todo.extend(zip(left, right, strict=True))
         else:
-            todo.extend(choices[x, y])
+            todo.extend((left[i], right[k]) for i, k in choices[shape_a[x], shape_b[y]])
     return out
 
 
+def aligned(
+    gains: Callable[[int], np.ndarray], n: int, width: int
+) -> tuple[int, list[tuple[int, int]]]:
+    """The largest sum of gains of pairs of two lists in order, and its pairs, last first.
+
+    ``gains`` gives those of an element of the first list with all of the second.
+    Of the table's rows only every so-manieth is kept; those between are made
+    again on the way back.
+    """
+    step = max(1, math.isqrt(n))
+
+    def after(above: np.ndarray, row: np.ndarray) -> np.ndarray:
+        here = np.zeros_like(above)
+        np.maximum.accumulate(np.maximum(above[1:], above[:-1] + row), out=here[1:])
+        return here
+
+    kept, row = [np.zeros(width + 1, dtype=np.int64)], np.zeros(width + 1, dtype=np.int64)
+    for i in range(n):
+        row = after(row, gains(i))
+        if (i + 1) % step == 0:
+            kept.append(row)
+    chosen, i, k = [], n, width
+    while i and k:
+        low = (i - 1) // step * step
+        rows = [kept[low // step]]
+        for j in range(low, i):
+            rows.append(after(rows[-1], gains(j)))
+        lists = [r.tolist() for r in rows]
+        while i > low and k:
+            here, above = lists[i - low], lists[i - low - 1]
+            if here[k] == above[k]:
+                i -= 1
+            elif here[k] == here[k - 1]:
+                k -= 1
+            else:
+                i, k = i - 1, k - 1
+                chosen.append((i, k))
+    return int(row[-1]), chosen
+
+
 def _sizes(tree: Tree) -> list[int]:
     out = [1] * len(tree.tags)
     for number in range(len(out) - 1, -1, -1):
@@ -429,20 +442,6 @@ def _sizes(tree: Tree) -> list[int]:
     return out
 
 
-def _in_order(left: list[int], right: list[int], tags_a: list, tags_b: list) -> list:
-    """Pairs children of equal tags from both ends, for lists too long for a table."""
-    out, i, k = [], 0, 0
-    while i < len(left) and k < len(right):
-        if tags_a[left[i]] == tags_b[right[k]]:
-            out.append((left[i], right[k]))
-            i, k = i + 1, k + 1
-        elif len(left) - i > len(right) - k:
-            i += 1
-        else:
-            k += 1
-    return out
-
-
 def node_keys(tree: Tree) -> np.ndarray:
     """For each text node: hash of its path of tags and its text; 0 for elements."""
     paths = np.zeros(len(tree.tags), dtype=np.uint64)

@@ -396,6 +396,13 @@ def test_tree_matching_is_the_largest_alignment():
         assert len(pairs) == simple(a, b)
         assert len({x for x, _ in pairs}) == len({y for _, y in pairs}) == len(pairs)
 
+    # lists of any length: greedy pairing would miss the run of "b" behind the "c"
+    long_a = ["r", *[["b"]] * 300, *[["a", ["b"]]] * 300]
+    long_b = ["r", ["a"], *[["c"]] * 99, *[["b"]] * 300]
+    assert len(html_wrapper.match(tree(long_a), tree(long_b))) == 301
+    turns = ["r", *[[c] for c in rng.choices("abc", k=250)]], ["r", *[[c] for c in rng.choices("abc", k=250)]]
+    assert len(html_wrapper.match(*map(tree, turns))) == simple(*turns)
+
 
 # ------------------------------------------------------------------ archives
 
