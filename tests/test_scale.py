@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from postwright.functions import phrases, text
+from postwright import fixed
+from postwright.functions import fields, phrases, sql, text
 from postwright.operators import postings, skills
 from postwright.operators.shaping import ROWS_PER_TASK, fill_cores, tasks_for
 from workload import queries
@@ -89,3 +90,40 @@ def test_ascii_texts_are_cleaned_like_others(spark):
             assert plain[name] == other[name], (texts[k], name)
     assert got[10]["salary_text_min"] == 15.5 and got[10]["experience_min_years"] is not None
     assert text.ascii_only("t") in text.mask_phones("t")
+
+
+def test_patterns_behind_a_look_ahead_match_the_same(spark):
+    rng = random.Random(7)
+    pieces = [
+        "full-time", "part  time", "contract", "temp", "gig", "intern", "co-op", "wfh", "Remote", "PTO",
+        "dental", "401k", "paid leave", "tuition assist", "relocation package", "sign-on bonus",
+        "Ph.D", "phd", "m.a.", "MBA", "m.eng", "ms", "master's", "b.s", "BA", "four year", "4-year college",
+        "a.a.s", "two year", "GED", "high  school", "hsed", "x", "_ma", "ma1", "ſ", "\t", " \t", "\r", "  ",
+        "www.a.b", "HTTPS://x", "(303) 555-1234", "303.555.12345", "$5 - $9 per hour", "50k-60k yr",
+        "two years experience", "3+ yrs of experience", "&amp;lt;", "&lt;", "&amp;", "&x", "&",
+    ]
+    texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", ", "]) for _ in range(6)) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    df = df.selectExpr("t", "lower(t) AS _low", f"{sql.ascii_only('t')} AS _ascii", "true AS _odd")
+    tiers = dict(fixed.EDUCATION_TIERS)
+    assert fields._TIER_HINTS.keys() == tiers.keys()  # none is searched for in every text
+    for name, pattern in (fixed.FLAGS | tiers).items():
+        hints = (fields._FLAG_HINTS | fields._TIER_HINTS)[name]
+        for odd in ("_odd", "NOT _ascii AND t LIKE '%ſ%'"):
+            found = fields._matches("t", pattern, hints, fields._STARTS[name]).replace("_odd", f"({odd})")
+            plain = f"t RLIKE {sql.quote('(?iU)' + pattern)}"
+            assert df.filter(f"({found}) <> ({plain})").count() == 0, name
+    for pattern, starts in (
+        (fixed.SALARY_DOLLAR, "$"), (fixed.SALARY_K, r"\d"), (fixed.EXPERIENCE, r"\dotfsen"),
+    ):
+        plain = f"nullif(regexp_extract(t, {sql.quote('(?iU)' + pattern)}, 0), '')"
+        assert df.filter(f"NOT ({fields._first('t', pattern, starts)} <=> {plain})").count() == 0
+    swap = lambda pattern, by: f"regexp_replace(t, {sql.quote(pattern)}, '{by}')"
+    for step, plain in (
+        (text.mask_urls, swap("(?iU)" + fixed.URL, " <URL> ")),
+        (text.mask_phones, swap("(?U)" + fixed.PHONE, " <PHONE> ")),
+        (text.collapse_blanks, swap(fixed.HORIZONTAL_SPACE, " ")),
+    ):
+        assert df.filter(f"{step('t')} <> {plain}").count() == 0, step
+    decoded = [r[0] for r in df.selectExpr(text._decode_common("t")).collect()]
+    assert decoded == [t.replace("&lt;", "<").replace("&amp;", "&") for t in texts]
