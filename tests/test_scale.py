@@ -8,6 +8,7 @@ from postwright import fixed
 from postwright.functions import fields, phrases, sql, text
 from postwright.operators import postings, skills
 from postwright.operators.shaping import ROWS_PER_TASK, fill_cores, tasks_for
+from postwright.streaming import incremental
 from workload import queries
 
 
@@ -92,6 +93,26 @@ def test_ascii_texts_are_cleaned_like_others(spark):
     assert text.ascii_only("t") in text.mask_phones("t")
 
 
+def test_batch_of_one_file_is_cleaned_by_all_cores(spark, tmp_path):
+    rows = spark.range(40).select(
+        F.col("id").cast("string").alias("system_job_id"), F.lit("a blue bolt").alias("description")
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    taxonomy = spark.createDataFrame(
+        [("blue bolt", "bolts", "d", "esco", 0.9)],
+        "raw_skill string, taxonomy_skill string, taxonomy_description string, "
+        "taxonomy_source string, correlation double",
+    )
+    incremental.structure_stream(
+        spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"),
+        skills.build_lookup(taxonomy), f"{tmp_path}/out", f"{tmp_path}/check", buckets=2,
+    ).awaitTermination()
+    staged = spark.read.parquet(f"{tmp_path}/check-stage/postings")
+    assert staged.select(F.input_file_name()).distinct().count() == 4
+    assert staged.select("system_job_id").distinct().count() == 40
+    assert spark.read.parquet(f"{tmp_path}/out/structured_skills").count() == 40
+
+
 def test_patterns_behind_a_look_ahead_match_the_same(spark):
     rng = random.Random(7)
     pieces = [
