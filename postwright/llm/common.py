@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from postwright.operators.shaping import BROADCAST_BYTES
-from postwright.session import stored, work_path
+from postwright.session import discard, stored, work_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +30,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return stored(df, work_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}"))
 
 
+def unstage(df: DataFrame) -> None:
+    """Remove a staged table that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        discard(df.sparkSession, folder)
+
+
 def small_side(df: DataFrame, width: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a staged table for broadcast when its rows, of ``width`` bytes each, are small together.
 

@@ -18,10 +18,11 @@ components of the links.
 
 A list is not expanded into all its pairs.  First its members are paired with
 one hub per list and size band; confirmed links make components; a second time
-with other hubs; then only members of a list that are still in different
-components, and share enough of their sets with others there, are paired with
-each other.  A link inside a component changes nothing, so the components are
-those of all links.
+with other hubs.  Members of a list that are then still in different components,
+and share enough of their sets with others there, are compared on the full sets
+with the most central of them, and those not linked through it are paired where
+they differ from it in the same shingles (``offset_pairs``).  A link inside a
+component changes nothing, so the components are those of all links.
 
 With similarity s the number of agreements is binomial (COORDINATES, s): at the
 least similarity, 0.75, fewer than 33 of 64 agree with probability 1e-5.
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postwright.llm.common import (
-    WordIds, map_rows, mixed, small_side, stage, windows, with_fields, words_of,
+    WordIds, map_rows, mixed, small_side, stage, unstage, windows, with_fields, words_of,
 )
 
 SHINGLE = 5
@@ -213,8 +214,8 @@ def unique_shingles(texts: DataFrame) -> DataFrame:
     )
 
 
-def open_pairs(members: DataFrame, texts_of) -> DataFrame:
-    """(a, b): members of a list in different components that can still be linked.
+def open_members(members: DataFrame, texts_of) -> DataFrame:
+    """The members of lists in different components that can still be linked, and ``shared``; staged.
 
     Such a pair is among the members of lists of several components.  What two of
     them share, neither has alone among all of them, so with s for the number of
@@ -224,23 +225,153 @@ def open_pairs(members: DataFrame, texts_of) -> DataFrame:
     """
     opened = still_open(members)
     nodes = opened.select("node", "size").distinct()
-    alone = unique_shingles(texts_of(nodes))
-    sized = nodes.join(alone, "node", "left").select(
+    texts = texts_of(nodes)
+    sized = nodes.join(unique_shingles(texts), "node", "left").select(
         "node", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared")
     ).filter(100 * F.col("shared") >= SIMILARITY * F.col("size"))
     rest = stage(sized, "shared")
-    left = still_open(opened.join(small_side(rest, 16), "node"))
-    right = left.select(
-        "token", F.col("node").alias("r_node"), F.col("size").alias("r_size"),
-        F.col("component").alias("r_component"), F.col("shared").alias("r_shared"),
+    unstage(texts)
+    return still_open(opened.join(small_side(rest, 16), "node"))
+
+
+def central_pairs(members: DataFrame) -> DataFrame:
+    """(hub, node): the members of each list with the one that has the least share alone; staged.
+
+    Lists of one group of copies mostly have the same hub, so a member meets few.
+    """
+    alone = 1 - F.col("shared") / F.col("size")
+    hubs = members.groupBy("token").agg(
+        F.min(F.struct(alone.alias("o"), "node")).alias("h")
+    ).select("token", F.col("h.node").alias("hub"))
+    return stage(
+        members.join(hubs, "token").filter("node <> hub").select("hub", "node").distinct(),
+        "central",
+    )
+
+
+def offsets(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(hub, node, size, near, apart, tokens) of pairs (hub, node); staged.
+
+    ``tokens`` are the shingles that one of both sets has and the other lacks,
+    ``near`` says whether the two are linked, and ``apart`` is the node's part of
+    the bound that ``offset_pairs`` describes.
+    """
+    rows = (
+        pairs.join(texts.select(F.col("node").alias("hub"), F.col("text").alias("h_text")), "hub")
+        .join(texts, "node").select("hub", "node", "h_text", "text")
     )
-    enough = (100 + SIMILARITY) * F.least("shared", "r_shared") >= SIMILARITY * (
-        F.col("size") + F.col("r_size")
+    schema = T.StructType.fromDDL(
+        "hub bigint, node bigint, size bigint, near boolean, apart bigint, tokens array<bigint>"
     )
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        ids, target = WordIds(), to_arrow_schema(schema)
+        held: OrderedDict[int, np.ndarray] = OrderedDict()
+
+        def set_of(node: int, value: str) -> np.ndarray:
+            if node not in held:
+                held[node] = shingles(value, ids)
+                if len(held) > 32:
+                    held.popitem(last=False)
+            held.move_to_end(node)
+            return held[node]
+
+        for batch in batches:
+            sizes, near, apart, tokens = [], [], [], []
+            hubs, nodes, h_texts, texts = (batch.column(k).to_pylist() for k in range(4))
+            for hub, node, s, t in zip(hubs, nodes, h_texts, texts, strict=True):
+                base, found = set_of(hub, s), set_of(node, t)
+                differ = np.setxor1d(base, found, assume_unique=True)
+                both = (len(base) + len(found) - len(differ)) // 2
+                sizes.append(len(found))
+                near.append(linked(base, found))
+                apart.append(
+                    2 * SIMILARITY * len(found) + (100 + SIMILARITY) * (len(base) - 2 * both)
+                )
+                tokens.append(differ.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), batch.column(1), *(
+                        pa.array(x, type=target.field(k).type)
+                        for k, x in enumerate((sizes, near, apart, tokens), 2)
+                    ),
+                ],
+                schema=target,
+            )
+
+    return stage(rows.mapInArrow(run, schema), "offsets")
+
+
+def offset_pairs(found: DataFrame, components: DataFrame) -> DataFrame:
+    """(a, b): nodes of one hub in different components that can be linked, from their offsets.
+
+    Let H be the set of the hub and DX, DY what the sets X and Y differ from it in.
+    Then |X and Y| = |DX and DY| - |H| + |X and H| + |Y and H|, so the two are linked
+    exactly where
+
+        2 (100 + SIMILARITY) |DX and DY| >= apart(X) + apart(Y),
+        apart(X) = 2 SIMILARITY |X| + (100 + SIMILARITY) (|H| - 2 |X and H|).
+
+    The right side is positive unless both are linked with the hub, and then they
+    are in one component.  So they share a token of their offsets.  These are
+    few, and rarely the same: of a group of copies of one text, they are what
+    each has changed.  Tokens of one component only are left out; the others are
+    put in order, rare ones first, and the first one shared must leave enough
+    behind it on both sides.  Of nodes with the same tokens in a component the one
+    that needs least stands for all.
+    """
+    unit = 2 * (100 + SIMILARITY)
+    of = lambda name, out: components.select(
+        F.col("node").alias(name), F.col("component").alias(out)
+    )
+    rows = found.join(of("node", "c"), "node", "left").join(of("hub", "h"), "hub", "left").select(
+        "hub", "node", "size", "apart", "tokens", F.coalesce("c", "node").alias("component"),
+        F.coalesce("h", "hub").alias("own"),
+    )
+    inside = F.col("component") == F.col("own")
+    needs = rows.groupBy("hub").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min("apart").alias("least"), F.min(F.when(~inside, F.col("apart"))).alias("least_out"),
+    ).filter("low < high").drop("low", "high")
+    keys = ["hub", "node", "size", "apart", "component"]
+    bound = F.when(inside, F.col("least_out")).otherwise(F.col("least"))
+    tokens = rows.join(needs, "hub").select(
+        *keys, bound.alias("bound"), F.explode("tokens").alias("token")
+    )
+    shared = stage(
+        tokens.groupBy("hub", "token").agg(
+            F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        ).filter("low < high").select("hub", "token", "n"),
+        "offset-tokens",
+    )
+    lists = tokens.join(small_side(shared, 32), ["hub", "token"]).groupBy(*keys, "bound").agg(
+        F.sort_array(F.collect_list(F.struct("n", "token"))).alias("list")
+    )
+    some = lists.groupBy("hub", "component", "list", "bound", "size").agg(
+        F.min(F.struct("apart", "node")).alias("m")
+    ).select("hub", "component", "list", "bound", "size", "m.apart", "m.node")
+    room = unit * (F.size("list") - F.col("at")) - F.col("apart")
+    first = stage(
+        some.select(*keys, "bound", "list", F.posexplode("list").alias("at", "e"))
+        .select(*keys, "bound", F.col("e.token").alias("token"), room.alias("room"))
+        .filter("room >= bound").drop("bound"),
+        "offset-lists",
+    )
+    several = first.groupBy("hub", "token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).filter("low < high").select("hub", "token")
+    left = stage(first.join(several, ["hub", "token"]), "offset-open")
+    right = left.select("hub", "token", *(
+        F.col(c).alias(f"r_{c}") for c in ("node", "size", "apart", "component", "room")
+    ))
     return (
-        left.join(right, "token")
+        left.join(right, ["hub", "token"])
         .filter((F.col("node") < F.col("r_node")) & (F.col("component") != F.col("r_component"))
-                & _fits("size", "r_size") & enough)
+                & _fits("size", "r_size")
+                & (F.col("room") >= F.col("r_apart")) & (F.col("r_room") >= F.col("apart")))
         .select(F.col("node").alias("a"), F.col("r_node").alias("b")).distinct()
     )
 
@@ -373,7 +504,10 @@ def _with_components(posted: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def links(documents: DataFrame, key: str, text: str, classes: DataFrame) -> DataFrame:
-    """(node, component) of the classes that are linked with another."""
+    """(node, component) of the classes that are linked with another.
+
+    The texts that a round reads are removed after it, so that only one round's lie on disk.
+    """
     posted = postings(classes)
     spark = documents.sparkSession
     edges = spark.createDataFrame([], "a bigint, b bigint")
@@ -383,20 +517,36 @@ def links(documents: DataFrame, key: str, text: str, classes: DataFrame) -> Data
     def texts_of(nodes: DataFrame) -> DataFrame:
         return node_texts(documents, key, text, classes, nodes)
 
-    rounds = (
-        lambda m: hub_pairs(m, F.col("node"), False),
-        lambda m: hub_pairs(m, F.xxhash64("token", "node"), True),
-        lambda m: open_pairs(m, texts_of),
-    )
-    for pair in rounds:
-        pairs = agreeing(pair(members), posted)
-        if not pairs.limit(1).count():
-            continue
-        met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        fresh = confirmed(pairs, texts_of(met))
+    def joined(fresh: DataFrame) -> None:
+        nonlocal edges, components, members
         edges = fresh if not edges.limit(1).count() else stage(edges.union(fresh), "edges")
         components = connected(edges)
         members = _with_components(posted, components)
+
+    def settle(pairs: DataFrame) -> None:
+        pairs = agreeing(pairs, posted)
+        if pairs.limit(1).count():
+            met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            texts = texts_of(met)
+            fresh = confirmed(pairs, texts)
+            unstage(texts)
+            joined(fresh)
+
+    settle(hub_pairs(members, F.col("node"), False))
+    settle(hub_pairs(members, F.xxhash64("token", "node"), True))
+    central = central_pairs(open_members(members, texts_of))
+    if not central.limit(1).count():
+        return components
+    met = central.select(F.explode(F.array("hub", "node")).alias("node")).distinct()
+    texts = texts_of(met)
+    found = offsets(central, texts)
+    unstage(texts)
+    near = found.filter("near").select(
+        F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
+    ).distinct()
+    if near.limit(1).count():
+        joined(near)
+    settle(offset_pairs(found, components))
     return components
 
 
