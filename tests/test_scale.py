@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from postwright import fixed
 from postwright.functions import fields, phrases, sql, text
+from postwright.functions.coerce import strip
 from postwright.operators import postings, skills
 from postwright.operators.shaping import ROWS_PER_TASK, fill_cores, tasks_for
+from postwright.plans import structure as plans
+from postwright.session import COMPILED_BYTES, compiled
 from postwright.streaming import incremental
 from workload import queries
 
@@ -148,3 +151,45 @@ def test_patterns_behind_a_look_ahead_match_the_same(spark):
         assert df.filter(f"{step('t')} <> {plain}").count() == 0, step
     decoded = [r[0] for r in df.selectExpr(text._decode_common("t")).collect()]
     assert decoded == [t.replace("&lt;", "<").replace("&amp;", "&") for t in texts]
+
+
+def test_postings_are_staged_in_methods_that_the_jvm_compiles(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    write = plans.stored
+
+    def noted(df, path):
+        seen.append(spark.conf.get(name))
+        return write(df, path)
+
+    monkeypatch.setattr(plans, "stored", noted)
+    before = spark.conf.get(name)
+    rows = [("1", " We pay $20 per hour, full time. ")]
+    df = spark.createDataFrame(rows, "system_job_id string, description string")
+    staged = plans._staged(df, str(tmp_path / "staged"), plans.Rules())
+    assert seen == [COMPILED_BYTES]
+    assert staged.select("salary_text_min", "is_fulltime").collect() == [(20.0, True)]
+    assert spark.conf.get(name) == before
+
+
+def test_the_limit_of_methods_is_put_back(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, "12345")
+    try:
+        with compiled(spark):
+            assert spark.conf.get(name) == COMPILED_BYTES
+            raise KeyError
+    except KeyError:
+        assert spark.conf.get(name) == "12345"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_ends_are_stripped_only_where_they_are_white_space(spark):
+    bodies = ["", "x", "a b", "\u00e9t\u00e9", "\U0001f600", "\u2060x\u2060"]
+    texts = [None, *fixed.SPACE_CHARACTERS]
+    texts += [l + b + r for b in bodies for l in ("", *fixed.SPACE_CHARACTERS) for r in ("", " ", "\u3000\n")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    quick, plain = text.strip_ends("t"), strip("t")
+    got = df.select("t", F.expr(quick).alias("quick"), F.expr(plain).alias("plain")).collect()
+    assert all(r.quick == r.plain == (None if r.t is None else r.t.strip(fixed.SPACE_CHARACTERS)) for r in got)
+    assert text.TIDY_LAYOUT[-1] is text.strip_ends
